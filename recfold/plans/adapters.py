@@ -85,7 +85,23 @@ DER_COND_ACIDENTE = _condition_table(
 DER_COND_VIA = _condition_table(2, f"{_VALUE_A} AS BURACOS, {_VALUE_B} AS {{quote}}MATERIAL NA PISTA{{quote}}")
 DER_EMBRIAGUEZ = _condition_table(4, f"{_VALUE_A} AS sintoma_embriaguez_descricao")
 
+# Raw lines of a delimited file with three columns: over-long lines with and without a value in
+# the extra field, short lines, separators inside quotes, texts that mean NULL, accents.
+DELIMITED_HEADER = ["numero_ocorrencia", "numero_ocorrencia_associado", "condicao_fisica_descricao"]
+_LINE_START = f"CONCAT({_occurrence('l_orderkey')}, '-001;', {_occurrence('l_orderkey')}"
+DELIMITED_LINES = f'''
+SELECT CASE l_linenumber
+         WHEN 1 THEN {_LINE_START}, ';', CASE l_returnflag WHEN 'A' THEN 'NA' WHEN 'N' THEN '' ELSE 'LESÕES' END)
+         WHEN 2 THEN {_LINE_START}, ';NaN')
+         WHEN 3 THEN {_LINE_START}, ';SEM "ASPAS" LESOES')
+         WHEN 4 THEN {_LINE_START}, ';"COM; LESOES ""GRAVES"""')
+         WHEN 5 THEN {_LINE_START})
+         WHEN 6 THEN {_LINE_START}, ';LEVE;')
+         ELSE {_LINE_START}, ';ILESO;A MAIS') END AS linha
+FROM {{lineitem}}'''
+
 INPUTS = {
+    "delimited_lines": DELIMITED_LINES,
     "base": BASE,
     "der_ocorrencia": DER_OCORRENCIA,
     "der_veiculos": DER_VEICULOS,
