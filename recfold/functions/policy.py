@@ -13,9 +13,9 @@ def has_source_id() -> Column:
     return source_id.isNotNull() & (source_id != c.MISSING_ID)
 
 
-def relational_target() -> Column:
+def relational_target(source: Column, source_id: Column) -> Column:
     """Key under which the child tables know the record."""
-    return F.when(F.col("fonte_original").isin(c.OFFICIAL_SOURCES), F.col("id_original_fonte"))
+    return F.when(source.isin(c.OFFICIAL_SOURCES), source_id)
 
 
 def dedup_key() -> Column:

@@ -21,7 +21,7 @@ from recfold.operators.skew import HotKeys, hot_keys, spread_join
 
 def with_dedup_key(records: DataFrame) -> DataFrame:
     return records.withColumns({
-        "target_der_id": policy.relational_target(),
+        "target_der_id": policy.relational_target(F.col("fonte_original"), F.col("id_original_fonte")),
         "chave_dedup": policy.dedup_key(),
     })
 
@@ -41,45 +41,50 @@ def group_stats(keyed: DataFrame) -> DataFrame:
     )
 
 
-def _first_record(eligible: Column) -> Column:
-    """Best eligible record of the group, or NULL."""
-    record = F.struct(
-        policy.source_rank().alias("rank"),
-        F.col("id_acidente_unico").alias("id"),
-        F.col("fonte_original").alias("fonte"),
-        F.col("id_original_fonte").alias("id_original"),
-        F.col("target_der_id").alias("target"),
-    )
-    return F.min(F.when(eligible, record))
+def _grouped_records(records: DataFrame) -> DataFrame:
+    """Records that belong to an event, with the two traits their role depends on."""
+    return with_dedup_key(records).filter(F.col("chave_dedup").isNotNull()).withColumns({
+        "__isolated": policy.is_isolated(),
+        "__yields": policy.yields_to_sejusp(),
+    })
 
 
-def event_groups(keyed: DataFrame) -> DataFrame:
+def event_groups(records: DataFrame) -> DataFrame:
     """One row per dedup key with all that its records share.
 
+    ``rep`` is the representative: the group's best record by (source rank, id) among those
+    that are not isolated and, beside a SEJUSP record, not mere evidence; NULL if there is none.
     ``chaves`` holds the distinct (source, occurrence number) of the rows that reach the golden
     table: the representative and the isolated records of the group. It stays short, because
     isolated records sharing a group are keyless WAZE records and so all alike.
     """
-    isolated = policy.is_isolated()
+    return _groups(_grouped_records(records))
+
+
+def _groups(keyed: DataFrame) -> DataFrame:
     source, source_id = F.col("fonte_original"), F.col("id_original_fonte")
-    isolated_key = F.struct(
-        source.alias("fonte"), keys.occurrence_number(source, source_id).alias("numero")
+    isolated, yields = F.col("__isolated"), F.col("__yields")
+    record = F.struct(
+        policy.source_rank().alias("rank"),
+        F.col("id_acidente_unico").alias("id"),
+        source.alias("fonte"),
+        source_id.alias("id_original"),
     )
-    groups = keyed.filter(F.col("chave_dedup").isNotNull()).groupBy("chave_dedup").agg(
+    isolated_key = F.struct(source.alias("fonte"), keys.occurrence_number(source, source_id).alias("numero"))
+    groups = keyed.groupBy("chave_dedup").agg(
         F.min("id_acidente_unico").alias("id_acidente_final"),
         _present(c.SEJUSP).alias("tem_sejusp"),
         distinct_list(source).alias("fontes_associadas"),
-        _first_record(~isolated).alias("first_any"),
-        _first_record(~isolated & ~policy.yields_to_sejusp()).alias("first_ruled"),
+        F.min(F.when(~isolated, record)).alias("first_any"),
+        F.min(F.when(~(isolated | yields), record)).alias("first_ruled"),
         F.collect_set(F.when(isolated, isolated_key)).alias("isolated_keys"),
     )
-    representative = F.when(F.col("tem_sejusp") == 1, F.col("first_ruled")).otherwise(F.col("first_any"))
-    groups = groups.withColumn("rep", representative)
+    rep = F.when(F.col("tem_sejusp") == 1, F.col("first_ruled")).otherwise(F.col("first_any"))
     rep_key = F.struct(
         F.col("rep.fonte").alias("fonte"),
         keys.occurrence_number(F.col("rep.fonte"), F.col("rep.id_original")).alias("numero"),
     )
-    return groups.select(
+    return groups.withColumn("rep", rep).select(
         "chave_dedup",
         "id_acidente_final",
         "tem_sejusp",
@@ -102,15 +107,15 @@ def annotate(records: DataFrame, hot: HotKeys | None = None, skew: Skew = Skew()
 
     Columns nobody asks for later are pruned before the shuffle.
     """
-    keyed = with_dedup_key(records)
+    keyed = _grouped_records(records)
     joined = spread_join(
-        keyed.filter(F.col("chave_dedup").isNotNull()), event_groups(keyed), "chave_dedup", "chave_dedup",
-        [F.col("id_acidente_unico")], "inner", (hot or {}).get("chave_dedup"), skew,
+        keyed, _groups(keyed), "chave_dedup", "chave_dedup", [F.col("id_acidente_unico")], "inner",
+        (hot or {}).get("chave_dedup"), skew,
     )
-    isolated = policy.is_isolated()
+    isolated = F.col("__isolated")
 
-    def inherited(own: str, from_representative: str) -> Column:
-        return F.when(isolated, F.col(own)).otherwise(F.col(f"rep.{from_representative}"))
+    def inherited(own: str, from_representative: Column) -> Column:
+        return F.when(isolated, F.col(own)).otherwise(from_representative)
 
     return joined.withColumns({
         "regra_deduplicacao_final": policy.rule_label(),
@@ -118,10 +123,12 @@ def annotate(records: DataFrame, hot: HotKeys | None = None, skew: Skew = Skew()
         "papel_no_grupo": F.when(isolated, c.ROLE_ISOLATED)
         .when(F.col("id_acidente_unico") == F.col("rep.id"), c.ROLE_REPRESENTATIVE)
         .otherwise(c.ROLE_EVIDENCE),
-        "fonte_representante": inherited("fonte_original", "fonte"),
-        "id_original_representante": inherited("id_original_fonte", "id_original"),
-        "target_der_final": inherited("target_der_id", "target"),
-    }).drop("tem_sejusp", "rep")
+        "fonte_representante": inherited("fonte_original", F.col("rep.fonte")),
+        "id_original_representante": inherited("id_original_fonte", F.col("rep.id_original")),
+        "target_der_final": inherited(
+            "target_der_id", policy.relational_target(F.col("rep.fonte"), F.col("rep.id_original"))
+        ),
+    }).drop("tem_sejusp", "rep", "__isolated", "__yields")
 
 
 def crosswalk(annotated: DataFrame) -> DataFrame:
@@ -147,7 +154,7 @@ def representatives(groups: DataFrame) -> DataFrame:
         "id_acidente_final",
         F.col("rep.fonte").alias("fonte_representante"),
         F.col("rep.id_original").alias("id_original_representante"),
-        F.col("rep.target").alias("target_der_id"),
+        policy.relational_target(F.col("rep.fonte"), F.col("rep.id_original")).alias("target_der_id"),
     )
 
 

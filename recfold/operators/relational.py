@@ -21,7 +21,7 @@ KEY = "numero_ocorrencia"
 def distinct_list(column: Column) -> Column:
     """Sorted distinct values joined by a comma; NULL when the group has none."""
     values = F.collect_set(column)
-    return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), ", "))
+    return F.when(F.size(values) > 0, F.array_join(F.sort_array(values), ", "))
 
 
 def contains_any(column: Column, marks: list[str]) -> Column:
@@ -72,15 +72,22 @@ def condition_aggregates(
     return _join_all(occurrences.select(KEY).distinct(), _condition_parts(accident, road, sobriety))
 
 
-def occurrence_aggregates(children: dict[str, DataFrame], skew: Skew = Skew()) -> DataFrame:
+def repeats_heavily(occurrences: DataFrame, skew: Skew = Skew()) -> bool:
+    """Whether some key, NULL included, has more occurrence rows than one task should emit."""
+    return bool(hot_keys(occurrences, {KEY: F.coalesce(F.col(KEY), F.lit("\0"))}, skew)[KEY])
+
+
+def occurrence_aggregates(
+    children: dict[str, DataFrame], heavy: bool = False, skew: Skew = Skew()
+) -> DataFrame:
     """One row per occurrence **row**, with the aggregates of all child tables.
 
     The output depends on the key alone, so equal occurrence rows are counted first, joined
     once per key and repeated afterwards. All joins share the partitioning by key: six inputs,
-    six shuffles, no further one, and no join ever sees a key twice.
+    six shuffles, no further one, and no join ever sees a key twice. ``heavy`` spreads the
+    repeated rows of a key over tasks (see ``repeats_heavily``).
     """
-    occurrences = children["der_ocorrencia"]
-    keyed = occurrences.groupBy(KEY).agg(F.count("*").alias("__copies"))
+    keyed = children["der_ocorrencia"].groupBy(KEY).agg(F.count("*").alias("__copies"))
     joined = _join_all(
         keyed,
         [
@@ -109,13 +116,7 @@ def occurrence_aggregates(children: dict[str, DataFrame], skew: Skew = Skew()) -
         "indicador_embriaguez",
         "__copies",
     )
-    return _repeat_rows(result, _repeats_heavily(occurrences, skew), skew.rows_per_task)
-
-
-def _repeats_heavily(occurrences: DataFrame, skew: Skew) -> bool:
-    # NULL is a key like any other here, hence the stand-in.
-    key = F.coalesce(F.col(KEY), F.lit("\0"))
-    return bool(hot_keys(occurrences, {KEY: key}, skew)[KEY])
+    return _repeat_rows(result, heavy, skew.rows_per_task)
 
 
 def _repeat_rows(df: DataFrame, heavy: bool, rows_per_task: int) -> DataFrame:

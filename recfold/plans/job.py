@@ -46,7 +46,7 @@ class Decision:
 
     @property
     def groups(self) -> DataFrame:
-        return cw.event_groups(cw.with_dedup_key(self.records))
+        return cw.event_groups(self.records)
 
     @property
     def crosswalk(self) -> DataFrame:
@@ -65,7 +65,7 @@ def decide(records: DataFrame, children: dict[str, DataFrame], skew: Skew = Skew
     """With ``scratch``, what several outputs read again is written there once."""
     hot = cw.record_hot_keys(records, skew)
     annotated = cw.annotate(records, hot, skew)
-    aggregates = relational.occurrence_aggregates(children, skew)
+    aggregates = relational.occurrence_aggregates(children, skew=skew)
     if scratch:
         annotated = materialise(annotated, f"{scratch}/annotated")
         aggregates = materialise(aggregates, f"{scratch}/aggregates")
@@ -104,7 +104,10 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     children, ingest = read_children(spark, config, scratch)
     write_json(reduce(DataFrame.unionByName, ingest), output("ingest_report"))
 
-    aggregates = materialise(relational.occurrence_aggregates(children, config.skew), output("occurrence_aggregates"))
+    heavy = relational.repeats_heavily(children["der_ocorrencia"], config.skew)
+    aggregates = materialise(
+        relational.occurrence_aggregates(children, heavy, config.skew), output("occurrence_aggregates")
+    )
     hot = cw.record_hot_keys(records, config.skew)
     annotated = materialise(cw.annotate(records, hot, config.skew), f"{scratch}/annotated")
     decision = Decision(records, children, hot, config.skew, annotated, aggregates)

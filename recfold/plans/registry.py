@@ -38,13 +38,18 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cw.with_dedup_key(_base(spark, sf_dir))
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base records as a written table, as the job finds them; a decision scans them thrice."""
+    return materialise(_base(spark, sf_dir), f"{scratch_dir(spark)}/records")
+
+
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _base(spark, sf_dir)
+    records = _records(spark, sf_dir)
     return cw.annotate(records, cw.record_hot_keys(records))
 
 
 def _decision(spark: SparkSession, sf_dir: str, scratch: str | None = None) -> Decision:
-    return decide(_base(spark, sf_dir), _children(spark, sf_dir), scratch=scratch)
+    return decide(_records(spark, sf_dir), _children(spark, sf_dir), scratch=scratch)
 
 
 # Records and policy
@@ -91,7 +96,7 @@ def crosswalk_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def representative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cw.representatives(cw.event_groups(_keyed(spark, sf_dir)))
+    return cw.representatives(cw.event_groups(_base(spark, sf_dir)))
 
 
 @query
@@ -120,12 +125,12 @@ def crosswalk_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def associated_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cw.associated_sources(cw.event_groups(_keyed(spark, sf_dir)))
+    return cw.associated_sources(cw.event_groups(_base(spark, sf_dir)))
 
 
 @query
 def canonical_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.canonical_keys(cw.event_groups(_keyed(spark, sf_dir)))
+    return gold.canonical_keys(cw.event_groups(_base(spark, sf_dir)))
 
 
 @query
@@ -207,7 +212,7 @@ def golden_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _base(spark, sf_dir)
+    records = _records(spark, sf_dir)
     return gold.full_records(cw.annotate(records, cw.record_hot_keys(records)), records.columns)
 
 
