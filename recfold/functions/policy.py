@@ -63,10 +63,10 @@ def yields_to_sejusp() -> Column:
     )
 
 
-def provisional_role(group_has_sejusp: Column) -> Column:
+def provisional_role(isolated: Column, yields: Column, group_has_sejusp: Column) -> Column:
     return (
-        F.when(is_isolated(), c.ROLE_ISOLATED)
-        .when(yields_to_sejusp() & group_has_sejusp, c.ROLE_EVIDENCE)
+        F.when(isolated, c.ROLE_ISOLATED)
+        .when(yields & group_has_sejusp, c.ROLE_EVIDENCE)
         .otherwise(c.ROLE_CANDIDATE)
     )
 

@@ -119,7 +119,7 @@ def annotate(records: DataFrame, hot: HotKeys | None = None, skew: Skew = Skew()
 
     return joined.withColumns({
         "regra_deduplicacao_final": policy.rule_label(),
-        "papel_no_grupo_tmp": policy.provisional_role(F.col("tem_sejusp") == 1),
+        "papel_no_grupo_tmp": policy.provisional_role(isolated, F.col("__yields"), F.col("tem_sejusp") == 1),
         "papel_no_grupo": F.when(isolated, c.ROLE_ISOLATED)
         .when(F.col("id_acidente_unico") == F.col("rep.id"), c.ROLE_REPRESENTATIVE)
         .otherwise(c.ROLE_EVIDENCE),

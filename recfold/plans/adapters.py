@@ -112,9 +112,22 @@ INPUTS = {
 }
 
 
+def spark_inputs(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame]:
+    """The named inputs; each test table is opened once."""
+    texts = {name: INPUTS[name].replace("{quote}", "`") for name in names}
+    tables = {
+        table: spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        for table in TABLES
+        if any(f"{{{table}}}" in text for text in texts.values())
+    }
+    return {
+        name: spark.sql(text, **{table: df for table, df in tables.items() if f"{{{table}}}" in text})
+        for name, text in texts.items()
+    }
+
+
 def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables = {table: f"parquet.`{sf_dir}/{table}.parquet`" for table in TABLES}
-    return spark.sql(INPUTS[name].format(quote="`", **tables))
+    return spark_inputs(spark, sf_dir, [name])[name]
 
 
 def oracle_input(name: str) -> str:

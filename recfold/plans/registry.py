@@ -31,7 +31,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _children(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: adapters.spark_input(spark, sf_dir, name) for name in c.CHILD_TABLES}
+    return adapters.spark_inputs(spark, sf_dir, list(c.CHILD_TABLES))
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,132 @@
+"""Edge-case records and child rows, one per branch of the policy, with expected results."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from recfold import config as c
+
+# id, source, source id, flag, cluster
+RECORDS = [
+    ("R01", "SEJUSP", "2020-000000001-001", "FORTE", "C1"),
+    ("R02", "DER", "2020-000000001-001", "FORTE", "C1"),
+    ("R03", "SEJUSP", "2020-000000002-001", "FORTE", "C1"),
+    ("R04", "DER", "2020-000000003-002", "FORTE", "C2"),
+    ("R05", "DER", "2020-000000004", "FORTE", "C2"),
+    ("R06", "SEJUSP", "2020-000000005-001", "POSSIVEL", None),
+    ("R07", "WAZE", None, "UNICO", None),
+    ("R08", "WAZE", None, "FORTE", "C3"),
+    ("R09", "DER", "2020-000000006-001", "FORTE", "C3"),
+    ("R10", "DER", "2020-000000007-001", "UNICO", None),
+    ("R11", "DER", "2020-000000007-001", "UNICO", None),
+    ("R12", "SEJUSP", "2020-000000007-001", "UNICO", None),
+    ("R13", "DER", None, "UNICO", None),
+    ("R14", "DER", "NaN", "UNICO", None),
+    ("R15", "DER", None, None, None),
+    ("R16", "DER", "", "UNICO", None),
+    ("R17", "DER", "", "UNICO", None),
+    ("R18", "DER", " 2020-000000008-001 ", "UNICO", None),
+    ("R19", "DER", "2020-000000009-001", "FORTE", None),
+    ("R20", None, "2020-000000010-001", "UNICO", None),
+    ("R21", "OUTRO", "X1", "UNICO", None),
+    ("R22", "WAZE", None, None, None),
+    ("R23", "WAZE", None, "POSSIVEL", None),
+]
+
+# id: dedup key, final id, rule, role, representative's source, id and target
+CROSSWALK = {
+    "R01": ("C1", "R01", "cluster_forte", "representante", "SEJUSP", "2020-000000001-001", "2020-000000001-001"),
+    "R02": ("C1", "R01", "cluster_forte", "evidencia_associada", "SEJUSP", "2020-000000001-001", "2020-000000001-001"),
+    "R03": ("C1", "R01", "cluster_forte", "evidencia_associada", "SEJUSP", "2020-000000001-001", "2020-000000001-001"),
+    "R04": ("C2", "R04", "cluster_forte", "representante", "DER", "2020-000000003-002", "2020-000000003-002"),
+    "R05": ("C2", "R04", "cluster_forte", "evidencia_associada", "DER", "2020-000000003-002", "2020-000000003-002"),
+    "R06": ("R06", "R06", "isolado_possivel_cenario_conservador", "isolado", "SEJUSP",
+            "2020-000000005-001", "2020-000000005-001"),
+    "R07": ("R07", "R07", "isolado_waze_ausencia_chave", "isolado", "WAZE", None, None),
+    "R08": ("C3", "R08", "isolado_waze_ausencia_chave", "isolado", "WAZE", None, None),
+    "R09": ("C3", "R08", "cluster_forte", "representante", "DER", "2020-000000006-001", "2020-000000006-001"),
+    "R10": ("DER_2020-000000007-001", "R10", "id_original_fonte", "representante", "DER",
+            "2020-000000007-001", "2020-000000007-001"),
+    "R11": ("DER_2020-000000007-001", "R10", "id_original_fonte", "evidencia_associada", "DER",
+            "2020-000000007-001", "2020-000000007-001"),
+    "R12": ("SEJUSP_2020-000000007-001", "R12", "id_original_fonte", "representante", "SEJUSP",
+            "2020-000000007-001", "2020-000000007-001"),
+    "R13": ("R13", "R13", "isolado_sem_chave", "isolado", "DER", None, None),
+    "R14": ("R14", "R14", "isolado_sem_chave", "isolado", "DER", "NaN", "NaN"),
+    "R15": ("R15", "R15", "isolado_sem_chave", "representante", "DER", None, None),
+    "R16": ("DER_", "R16", "id_original_fonte", "representante", "DER", "", ""),
+    "R17": ("DER_", "R16", "id_original_fonte", "evidencia_associada", "DER", "", ""),
+    "R18": ("DER_ 2020-000000008-001 ", "R18", "id_original_fonte", "representante", "DER",
+            " 2020-000000008-001 ", " 2020-000000008-001 "),
+    "R21": ("OUTRO_X1", "R21", "id_original_fonte", "representante", "OUTRO", "X1", None),
+    "R22": ("R22", "R22", "isolado_waze_ausencia_chave", "isolado", "WAZE", None, None),
+    "R23": ("R23", "R23", "isolado_waze_ausencia_chave", "isolado", "WAZE", None, None),
+}
+
+# final id, source, number, associated number, status
+KEYS = {
+    ("R01", "SEJUSP", "2020-000000001-001", "2020-000000001", "CHAVE_FISICA_ATIVA"),
+    ("R04", "DER", "2020-000000003-002", "2020-000000003", "CHAVE_FISICA_ATIVA"),
+    ("R06", "SEJUSP", "2020-000000005-001", "2020-000000005", "CHAVE_FISICA_ATIVA"),
+    ("R07", "WAZE", None, None, "INEXISTENTE_WAZE"),
+    ("R22", "WAZE", None, None, "INEXISTENTE_WAZE"),
+    ("R23", "WAZE", None, None, "INEXISTENTE_WAZE"),
+    ("R08", "DER", "2020-000000006-001", "2020-000000006", "CHAVE_FISICA_ATIVA"),
+    ("R08", "WAZE", None, None, "INEXISTENTE_WAZE"),
+    ("R10", "DER", "2020-000000007-001", "2020-000000007", "CHAVE_FISICA_ATIVA"),
+    ("R12", "SEJUSP", "2020-000000007-001", "2020-000000007", "CHAVE_FISICA_ATIVA"),
+    ("R13", "DER", None, None, "INEXISTENTE"),
+    ("R14", "DER", None, None, "INEXISTENTE"),
+    ("R15", "DER", None, None, "INEXISTENTE"),
+    ("R16", "DER", None, None, "INEXISTENTE"),
+    ("R18", "DER", "2020-000000008-001", "2020-000000008", "CHAVE_FISICA_ATIVA"),
+    ("R21", "OUTRO", None, None, "REGISTRO_NAO_ELEGIVEL_DER"),
+}
+
+
+def _key(number: str) -> str:
+    return f"2020-000000{number}"
+
+
+OCCURRENCES = ["001-001", "003-001", "006-001", "007-001", "007-001", "008-001"]
+VEHICLES = [
+    ("001-001", "MOTO"), ("001-001", "CARRO"), ("001-001", "CARRO"), ("008-001", "CARRO"), ("007-001", None),
+]
+INVOLVED = [
+    ("001-001", "FATAL"), ("001-001", "COM LESOES GRAVES"), ("001-001", "SEM LESOES"), ("001-001", "LESÕES"),
+    ("001-001", None), ("007-001", "NAO FATAL LEVE"),
+]
+
+# key: vehicles, types, involved, fatal, injured, unhurt; one entry per occurrence row
+AGGREGATES = sorted([
+    (_key("001-001"), 3, "CARRO, MOTO", 5, 1, 1, 1),
+    (_key("003-001"), 0, None, 0, 0, 0, 0),
+    (_key("006-001"), 0, None, 0, 0, 0, 0),
+    (_key("007-001"), 1, None, 1, 1, 1, 0),
+    (_key("007-001"), 1, None, 1, 1, 1, 0),
+    (_key("008-001"), 1, "CARRO", 0, 0, 0, 0),
+], key=str)
+
+
+def records(spark: SparkSession, rows: list[tuple] = RECORDS) -> DataFrame:
+    full = [(*row, "arquivo.csv", None, "GOIANIA", "GO", -16.7, -49.2, "COLISAO") for row in rows]
+    return spark.createDataFrame(
+        full,
+        "id_acidente_unico string, fonte_original string, id_original_fonte string, flag_duplicidade string, "
+        "id_cluster_duplicidade string, arquivo_origem string, data_acidente date, municipio string, uf string, "
+        "latitude double, longitude double, tipo_acidente string",
+    )
+
+
+def children(spark: SparkSession, occurrences: list[str] = OCCURRENCES) -> dict[str, DataFrame]:
+    def table(name: str, rows: list[tuple]) -> DataFrame:
+        return spark.createDataFrame(rows, ", ".join(f"`{column}` string" for column in c.CHILD_TABLES[name]))
+
+    return {
+        "der_ocorrencia": table("der_ocorrencia", [(_key(n), _key(n[:-4])) for n in occurrences]),
+        "der_veiculos": table("der_veiculos", [(_key(n), _key(n[:-4]), kind) for n, kind in VEHICLES]),
+        "der_envolvidos": table("der_envolvidos", [(_key(n), _key(n[:-4]), state) for n, state in INVOLVED]),
+        "der_cond_acidente": table("der_cond_acidente", [
+            (_key("001-001"), "DIA", "BOA"), (_key("001-001"), "NOITE", None), (_key("007-001"), "DIA", "RUIM"),
+        ]),
+        "der_cond_via": table("der_cond_via", [(_key("001-001"), "SIM", "AREIA"), (_key("001-001"), "SIM", "OLEO")]),
+        "der_embriaguez": table("der_embriaguez", [(_key("008-001"), "HALITO"), (_key("008-001"), None)]),
+    }
