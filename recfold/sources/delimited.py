@@ -9,6 +9,7 @@ have their separators counted, outside quoted fields.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -47,6 +48,16 @@ def _csv(spark: SparkSession, sep: str, encoding: str):
     return spark.read.option("sep", sep).option("encoding", encoding).option("quote", '"').option("escape", '"')
 
 
+def _file_path() -> Column:
+    """Path of the row's file; the metadata column holds it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias(_FILE)
+
+
+def _literal_path(path: str) -> str:
+    """``path`` with the characters escaped that a reader would take as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _quoted_field(sep: str) -> str:
     return rf'(^|\Q{sep}\E)"(?:[^"]|"")*"'
 
@@ -61,7 +72,7 @@ def line_profile(spark: SparkSession, path: str | list[str], sep: str = ";", enc
     """Physical lines per file, and whether any of them leaves a quoted field open."""
     lines = spark.read.option("encoding", encoding).text(path)
     bare = F.regexp_replace("value", _quoted_field(sep), "$1")
-    return lines.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(
+    return lines.groupBy(_file_path()).agg(
         F.count("*").alias("linhas"), F.max(bare.rlike(rf'(^|\Q{sep}\E)"')).alias("quebra_em_campo")
     )
 
@@ -98,7 +109,7 @@ def parse(
     ]
     return raw.filter(~F.coalesce(blank, F.lit(False))).select(
         *values,
-        F.col("_metadata.file_path").alias(_FILE),
+        _file_path(),
         (corrupt.isNull() | (field_count(corrupt, sep) <= width)).alias(_KEPT),
     )
 
@@ -137,7 +148,7 @@ def _by_line_breaks(profile: DataFrame, path: str) -> tuple[list[str], list[str]
     """Files that can be split by line, and files with line breaks inside fields."""
 
     def files(condition: str) -> list[str]:
-        return [row[_FILE] for row in profile.filter(condition).select(_FILE).collect()]
+        return [_literal_path(row[_FILE]) for row in profile.filter(condition).select(_FILE).collect()]
 
     whole = files("quebra_em_campo")
     return (files("NOT quebra_em_campo"), whole) if whole else ([path], [])

@@ -35,7 +35,8 @@ def fingerprint(spark: SparkSession, paths: str | list[str], whole_limit: int =
     """Path, length and SHA-256 of every file below ``paths``; files are spread over tasks.
 
     The file's bytes are only loaded for files within ``whole_limit``: the size filter reaches
-    the reader. A larger file takes a task of its own that holds one piece at a time.
+    the reader. A larger file takes a task of its own that holds one piece at a time. Spark
+    lists no empty files; a file that became empty shows up as gone.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
     listing = [F.col("path").alias("arquivo"), F.col("length").alias("tamanho_bytes")]
