@@ -116,7 +116,7 @@ class Skew:
 
     rows_per_task: int = 1_000_000
     max_keys: int = 200
-    tracked: int = 10_000
+    tracked: int = 4_096
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recfold.config import Skew
 
+_MERGE_GROUPS = 256
 # Per key column: key and estimated number of rows.
 HotKeys = dict[str, dict[str, int]]
 
@@ -15,15 +16,22 @@ HotKeys = dict[str, dict[str, int]]
 def hot_keys(df: DataFrame, columns: dict[str, Column], skew: Skew) -> HotKeys:
     """Keys holding more than ``skew.rows_per_task`` rows, with their estimated row counts.
 
-    One pass with a fixed-size frequency summary per column and no shuffle of the keys; at most
-    ``skew.max_keys`` entries per column come back. The result only decides how rows are
-    spread: a key that is missed or listed needlessly changes no join result.
+    One pass with a fixed-size frequency summary per column and no shuffle of the keys. Each
+    task's summaries merge in a first layer of groups and those in one row, so that no task
+    receives the summaries of all. At most ``skew.max_keys`` entries per column come back.
+
+    The result only decides how rows are spread: a key that is missed or listed needlessly
+    changes no join result.
     """
     if df.count() <= skew.rows_per_task:
         return {name: {} for name in columns}
     keys = df.select(*[column.cast("string").alias(name) for name, column in columns.items()])
-    summary = keys.agg(*[
-        F.expr(f"approx_top_k(`{name}`, {skew.max_keys}, {skew.tracked})").alias(name) for name in columns
+    layer = keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("__layer")).agg(*[
+        F.expr(f"approx_top_k_accumulate(`{name}`, {skew.tracked})").alias(name) for name in columns
+    ])
+    summary = layer.agg(*[
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{name}`, {skew.tracked}), {skew.max_keys})").alias(name)
+        for name in columns
     ]).first()
     return {
         name: {
