@@ -151,14 +151,8 @@ def rates(metric_row: DataFrame) -> DataFrame:
 
 def merge_totals(parts: list[DataFrame]) -> DataFrame:
     """One-row frames of counts side by side in one row."""
-    names = [name for part in parts for name in part.columns]
-    long = reduce(DataFrame.unionByName, [
-        part.select(F.inline(F.array(*[
-            F.struct(F.lit(name).alias("metrica"), F.col(name).cast("long").alias("valor")) for name in part.columns
-        ])))
-        for part in parts
-    ])
-    return long.agg(*[F.max(F.when(F.col("metrica") == name, F.col("valor"))).alias(name) for name in names])
+    stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
 
 
 def record_counters(records: DataFrame) -> DataFrame:
