@@ -18,18 +18,23 @@ def relational_target(source: Column, source_id: Column) -> Column:
     return F.when(source.isin(c.OFFICIAL_SOURCES), source_id)
 
 
+def keeps_own_key() -> Column:
+    """True or false: the record's dedup key is its own id."""
+    return F.coalesce(
+        (F.col("fonte_original") == c.WAZE) | (F.col("flag_duplicidade") == c.POSSIBLE) | ~has_source_id(),
+        F.lit(False),
+    ) & ~F.col("flag_duplicidade").eqNullSafe(c.STRONG)
+
+
 def dedup_key() -> Column:
     """Key whose equal values make records one event.
 
     A NULL result (strong record without a cluster, or an id without a source) means the
     record belongs to no event.
     """
-    stands_alone = (
-        (F.col("fonte_original") == c.WAZE) | (F.col("flag_duplicidade") == c.POSSIBLE) | ~has_source_id()
-    )
     return (
         F.when(F.col("flag_duplicidade") == c.STRONG, F.col("id_cluster_duplicidade"))
-        .when(stands_alone, F.col("id_acidente_unico"))
+        .when(keeps_own_key(), F.col("id_acidente_unico"))
         .otherwise(F.concat("fonte_original", F.lit("_"), "id_original_fonte"))
     )
 

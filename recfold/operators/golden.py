@@ -34,20 +34,28 @@ def canonical_keys(groups: DataFrame) -> DataFrame:
 
 
 def golden(
-    annotated: DataFrame, aggregates: DataFrame, hot: HotKeys | None = None, skew: Skew = Skew()
+    annotated: DataFrame,
+    aggregates: DataFrame,
+    hot: HotKeys | None = None,
+    skew: Skew = Skew(),
+    written: bool = False,
 ) -> DataFrame:
     """Representatives and isolated records, once per event key of their group.
 
     The target of such a row is its own, so the records' hot targets are this join's hot keys.
+    With ``written``, ``annotated`` is a stored table, cheap to scan twice: rows without a target
+    then go around the join instead of through its shuffle.
     A group with a representative beside isolated WAZE records has two event keys, and each of
     its rows appears under both; ``pk_uniqueness`` and the checks report it.
     """
     unique = annotated.filter(F.col("papel_no_grupo").isin(c.ROLE_REPRESENTATIVE, c.ROLE_ISOLATED))
+    target = F.col("target_der_final")
     joined = spread_join(
-        unique, aggregates, "target_der_final", "numero_ocorrencia",
-        [F.col("id_acidente_unico")], "left",
-        (hot or {}).get("target_der_id"), skew,
+        unique.filter(target.isNotNull()) if written else unique, aggregates, "target_der_final",
+        "numero_ocorrencia", [F.col("id_acidente_unico")], "left", (hot or {}).get("target_der_id"), skew,
     )
+    if written:
+        joined = joined.unionByName(unique.filter(target.isNull()), allowMissingColumns=True)
     keyed = joined.withColumn("chave", F.explode("chaves"))
 
     def count(column: str) -> Column:

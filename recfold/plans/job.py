@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recfold import config as c
 from recfold.config import Expectations, Skew
 from recfold.operators import audit, crosswalk as cw, golden as gold, quality, relational, reports
-from recfold.operators.skew import HotKeys
+from recfold.operators.crosswalk import RecordProfile
 from recfold.sinks.files import write_csv, write_json, write_parquet
 from recfold.sources.delimited import combine_reports, read_tolerant_csv
 from recfold.sources.fingerprint import compare_fingerprints, fingerprint
@@ -39,14 +39,15 @@ class Decision:
 
     records: DataFrame
     children: dict[str, DataFrame]
-    hot: HotKeys
+    profile: RecordProfile
     skew: Skew
     annotated: DataFrame
     aggregates: DataFrame
+    written: bool = False
 
     @property
     def groups(self) -> DataFrame:
-        return cw.event_groups(self.records)
+        return cw.event_groups(self.records, self.profile)
 
     @property
     def crosswalk(self) -> DataFrame:
@@ -54,7 +55,7 @@ class Decision:
 
     @property
     def golden(self) -> DataFrame:
-        return gold.golden(self.annotated, self.aggregates, self.hot, self.skew)
+        return gold.golden(self.annotated, self.aggregates, self.profile.hot, self.skew, self.written)
 
     @property
     def full_records(self) -> DataFrame:
@@ -63,13 +64,13 @@ class Decision:
 
 def decide(records: DataFrame, children: dict[str, DataFrame], skew: Skew = Skew(), scratch: str | None = None) -> Decision:
     """With ``scratch``, what several outputs read again is written there once."""
-    hot = cw.record_hot_keys(records, skew)
-    annotated = cw.annotate(records, hot, skew)
+    profile = cw.profile_records(records, skew)
+    annotated = cw.annotate(records, profile, skew)
     aggregates = relational.occurrence_aggregates(children, skew=skew)
     if scratch:
         annotated = materialise(annotated, f"{scratch}/annotated")
         aggregates = materialise(aggregates, f"{scratch}/aggregates")
-    return Decision(records, children, hot, skew, annotated, aggregates)
+    return Decision(records, children, profile, skew, annotated, aggregates, written=bool(scratch))
 
 
 def read_children(spark: SparkSession, config: JobConfig, scratch: str) -> tuple[dict[str, DataFrame], list[DataFrame]]:
@@ -108,9 +109,9 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     aggregates = materialise(
         relational.occurrence_aggregates(children, heavy, config.skew), output("occurrence_aggregates")
     )
-    hot = cw.record_hot_keys(records, config.skew)
-    annotated = materialise(cw.annotate(records, hot, config.skew), f"{scratch}/annotated")
-    decision = Decision(records, children, hot, config.skew, annotated, aggregates)
+    profile = cw.profile_records(records, config.skew)
+    annotated = materialise(cw.annotate(records, profile, config.skew), f"{scratch}/annotated")
+    decision = Decision(records, children, profile, config.skew, annotated, aggregates, written=True)
     write_csv(decision.crosswalk.select(c.CROSSWALK_COLUMNS), output("crosswalk"))
     golden = materialise(decision.golden, output("golden"))
     write_parquet(decision.full_records, output("full_records"))

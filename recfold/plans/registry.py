@@ -43,9 +43,14 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(_base(spark, sf_dir), f"{scratch_dir(spark)}/records")
 
 
+def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(spark, sf_dir)
+    return cw.event_groups(records, cw.profile_records(records))
+
+
 def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _records(spark, sf_dir)
-    return cw.annotate(records, cw.record_hot_keys(records))
+    return cw.annotate(records, cw.profile_records(records))
 
 
 def _decision(spark: SparkSession, sf_dir: str, scratch: str | None = None) -> Decision:
@@ -96,7 +101,7 @@ def crosswalk_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def representative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cw.representatives(cw.event_groups(_base(spark, sf_dir)))
+    return cw.representatives(_groups(spark, sf_dir))
 
 
 @query
@@ -125,12 +130,12 @@ def crosswalk_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def associated_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cw.associated_sources(cw.event_groups(_base(spark, sf_dir)))
+    return cw.associated_sources(_groups(spark, sf_dir))
 
 
 @query
 def canonical_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.canonical_keys(cw.event_groups(_base(spark, sf_dir)))
+    return gold.canonical_keys(_groups(spark, sf_dir))
 
 
 @query
@@ -213,7 +218,7 @@ def golden_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _records(spark, sf_dir)
-    return gold.full_records(cw.annotate(records, cw.record_hot_keys(records)), records.columns)
+    return gold.full_records(cw.annotate(records, cw.profile_records(records)), records.columns)
 
 
 @query

@@ -64,8 +64,32 @@ def random_records(seed, size=400):
 def test_aggregate_form_equals_window_form(spark, seed):
     records = fixtures.records(spark, random_records(seed)).cache()
     window = window_crosswalk(records)
-    ours = cw.annotate(records).select(window.columns)
-    assert rows_of(ours) == rows_of(window)
+    profile = cw.profile_records(records)
+    assert not profile.own_keys_apart
+    for ours in (cw.annotate(records), cw.annotate(records, profile)):
+        assert rows_of(ours.select(window.columns)) == rows_of(window)
+
+
+@pytest.mark.parametrize("prefix", ["!", "D"])
+def test_records_with_their_own_key_are_decided_in_place(spark, prefix):
+    """With ids below all shared keys, and with ids among them but equal to none."""
+    rows = [(prefix + row[0], *row[1:]) for row in random_records(4)]
+    records = fixtures.records(spark, rows).cache()
+    profile = cw.profile_records(records)
+    assert profile.own_keys_apart
+    assert rows_of(cw.annotate(records, profile)) == rows_of(cw.annotate(records))
+    apart, whole = cw.event_groups(records, profile), cw.event_groups(records)
+    flat = ["chave_dedup", "id_acidente_final", "fontes_associadas", "rep.fonte", F.size("chaves")]
+    assert rows_of(apart.select(*flat)) == rows_of(whole.select(*flat))
+    assert rows_of(gold.canonical_keys(apart)) == rows_of(gold.canonical_keys(whole))
+
+
+def test_rows_without_target_may_go_around_the_join(spark):
+    records, children = fixtures.records(spark), fixtures.children(spark)
+    decision = decide(records, children)
+    around = gold.golden(decision.annotated, decision.aggregates, written=True)
+    assert around.columns == decision.golden.columns
+    assert rows_of(around) == rows_of(decision.golden)
 
 
 def test_window_form_on_adapters(spark, small):
@@ -87,9 +111,9 @@ def test_hot_keys_change_no_result(spark):
     children = fixtures.children(spark)
     plain = decide(records, children)
     spread = decide(records, children, TINY)
-    assert not any(plain.hot.values())
-    assert {"HOT", "DER_ "} <= set(spread.hot["chave_dedup"])
-    assert {" ", "2020-000000007-001"} <= set(spread.hot["target_der_id"])
+    assert not any(plain.profile.hot.values())
+    assert {"HOT", "DER_ "} <= set(spread.profile.hot["chave_dedup"])
+    assert {" ", "2020-000000007-001"} <= set(spread.profile.hot["target_der_id"])
     assert rows_of(spread.annotated) == rows_of(plain.annotated)
     assert rows_of(spread.golden) == rows_of(plain.golden)
     assert rows_of(spread.full_records) == rows_of(plain.full_records)
