@@ -16,6 +16,7 @@ the state reached where it begins has an arc.
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recfold.llm.rows import map_batches, slices
+from recfold.llm.text_arrays import inverse_powers, prefix_sums
 
 # Fixed value: the pattern that splits text before the merges, with the white space that the
 # tokenizer library means by \s spelled out.
@@ -34,6 +36,9 @@ SPLIT = regex.compile(
 )
 _CACHED = 400_000
 _CACHED_CHARS = 64
+_TOGETHER = 24
+_SHIFT = 44
+_SLOTS = 1 << (64 - _SHIFT)
 _compiled: dict[str, Automaton] = {}
 _sent: dict[tuple[str, str], object] = {}
 
@@ -66,12 +71,13 @@ class Automaton:
     def __post_init__(self) -> None:
         self.ids = self.ids or {label: n for n, label in enumerate(self.labels) if self.state[n] >= 0}
         self.longest = max(map(len, self.ids), default=0)
+        self.arrays = None
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.words = _Chunks(self._word)
         self.spaced = _Chunks(self._spaced)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("words", "spaced", "cut")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "spaced", "cut", "arrays")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -106,8 +112,79 @@ class Automaton:
             end -= len(self.labels[path[-1]])
         return path[::-1]
 
+    def _table(self) -> tuple[np.ndarray, ...]:
+        """The automaton as arrays, with token ids found by a hash of their bytes."""
+        if self.arrays is None:
+            tokens = np.fromiter(self.ids.values(), np.int64, len(self.ids))
+            ends = np.cumsum([len(label) for label in self.ids], dtype=np.int64)
+            data = np.frombuffer(b"".join(self.ids), np.uint8)
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            keys = np.zeros(_SLOTS, np.uint64)
+            held = np.full(_SLOTS, -1)
+            for key, token in zip(_labels_hashed(data, starts, ends).tolist(), tokens.tolist(), strict=True):
+                slot = key >> _SHIFT
+                while held[slot] >= 0:
+                    slot = (slot + 1) % _SLOTS
+                keys[slot], held[slot] = key, token
+            arcs = np.frombuffer(self.arcs, np.uint8)
+            self.arrays = keys, held, np.array(self.state), np.array(self.group), arcs
+        return self.arrays
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """``encode_word`` for many words at once: the same transitions, one place of all words at a time."""
+        keys, held, state, group, arcs = self._table()
+        order = sorted(range(len(words)), key=lambda n: -len(words[n]))
+        sizes = np.array([len(words[n]) for n in order], np.int64)
+        count, longest = len(order), int(sizes[0]) if order else 0
+        data = np.frombuffer(b"".join([words[n] for n in order]), np.uint8)
+        first = np.cumsum(sizes) - sizes
+        sums, inverse = prefix_sums(data), inverse_powers(len(data))
+        last = np.full((longest, count), -1, np.int32)
+        row = np.zeros((longest, count), np.int64)
+        for end in range(1, longest + 1):
+            active = int(np.searchsorted(-sizes, -end, side="right"))
+            for begin in range(max(0, end - self.longest), end):
+                left = np.flatnonzero(last[end - 1, :active] < 0)
+                if not len(left):
+                    break
+                from_ = first[left] + begin
+                key = (sums[first[left] + end] - sums[from_]) * inverse[from_]
+                slot = (key >> np.uint64(_SHIFT)).astype(np.int64)
+                token = held[slot]
+                other = np.flatnonzero((token >= 0) & (keys[slot] != key))
+                while len(other):
+                    slot[other] = (slot[other] + 1) % _SLOTS
+                    token[other] = held[slot[other]]
+                    other = other[(token[other] >= 0) & (keys[slot[other]] != key[other])]
+                some = token >= 0
+                left, token = left[some], token[some]
+                if begin:
+                    column = group[token]
+                    has = (arcs[row[begin - 1, left] + (column >> 3)] >> (column & 7)) & 1
+                    left, token = left[has == 1], token[has == 1]
+                last[end - 1, left] = token
+                row[end - 1, left] = state[token] * self.width
+        results = [b""] * count
+        for place, path in enumerate(np.ascontiguousarray(last.T).tolist()):
+            ids, end = [], int(sizes[place])
+            while end:
+                ids.append(path[end - 1])
+                end -= len(self.labels[ids[-1]])
+            results[order[place]] = struct.pack(f"<{len(ids)}I", *reversed(ids))
+        return results
+
+    def prepare(self, texts: list[str]) -> None:
+        """Encode what is new in some texts in one go."""
+        chunks = {chunk for text in texts for chunk in text.split(" ")} - self.spaced.keys()
+        new = {word for chunk in chunks for word in SPLIT.findall(" " + chunk)} - self.words.keys()
+        short = sorted(word for word in new if len(word) <= _TOGETHER)
+        if len(self.words) + len(short) > _CACHED:
+            self.words.clear()
+        self.words.update(zip(short, self.encode_words([word.encode() for word in short]), strict=True))
+
     def _word(self, word: str) -> bytes:
-        return np.array(self.encode_word(word.encode()), "<u4").tobytes()
+        ids = self.encode_word(word.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _segments(self, text: str) -> Iterator[bytes]:
         begin = 0
@@ -120,7 +197,9 @@ class Automaton:
     def _spaced(self, chunk: str) -> bytes | None:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             return None
-        return b"".join(self._segments(" " + chunk))
+        if self.cut and self.cut.search(chunk):
+            return b"".join(self._segments(" " + chunk))
+        return b"".join(map(self.words.__getitem__, SPLIT.findall(" " + chunk)))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers.
@@ -142,6 +221,11 @@ class Automaton:
         return b"".join([labels[n] for n in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
+def _labels_hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sums = prefix_sums(data)
+    return (sums[ends] - sums[starts]) * inverse_powers(len(data))[starts]
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a byte-level vocabulary, and back.
 
@@ -237,7 +321,10 @@ def _with_column(df: DataFrame, path: str, source: str, target: str, kind: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = getattr(automaton.value, work)
         for part in slices(batches, source):
-            values = pa.array([one(value) for value in part.column(at).fill_null(_empty(kind)).to_pylist()], made)
+            given = part.column(at).fill_null(_empty(kind)).to_pylist()
+            if work == "encode":
+                automaton.value.prepare(given)
+            values = pa.array([one(value) for value in given], made)
             columns = [part.column(n) for n in positions]
             yield pa.RecordBatch.from_arrays([*columns, values], names=[*(f.name for f in fields), target])
 

@@ -88,12 +88,23 @@ def _power(base: int, count: int) -> np.ndarray:
     return _powers[key]
 
 
-def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range: a polynomial by prefix sums, then mixed with its length."""
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """``sums[n]``: the polynomial of the first ``n`` bytes, modulo 2 to the 64th."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUES[data] * _power(_ODD, len(data) + 1)[: len(data)], out=sums[1:])
-    inverse = _power(pow(_ODD, -1, 1 << 64), len(data) + 1)
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return sums
+
+
+def inverse_powers(count: int) -> np.ndarray:
+    """What turns a difference of sums into a hash that doesn't depend on the range's place."""
+    return _power(pow(_ODD, -1, 1 << 64), count + 1)
+
+
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range: a polynomial by prefix sums, then mixed with its length."""
+    sums = prefix_sums(data)
+    values = (sums[ends] - sums[starts]) * inverse_powers(len(data))[starts]
+    return mixed(values + (ends - starts).astype(np.uint64))
 
 
 def windows(hashes: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:
