@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recfold.llm import bpe, simhash
+from recfold.llm import bpe, decontaminate, ngram_rules, pu_quality, simhash
 from recfold.llm.rows import ID, NO_ID
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,31 @@ def op10_simhash_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op1_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that overlap."""
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.when(F.col(ID) != NO_ID, F.col(ID)).alias("doc_id"), "item_id", "n_items", "token_at", "n_tokens", "n_same"
+    )
+
+
+@query
+def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, _ = pu_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    doc_id = pu_quality.id_column()
+    return scores.select(
+        doc_id.alias("doc_id"),
+        F.coalesce(pu_quality.remainder(doc_id) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op5_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter("doc_id is not null and quality is not null")
+    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
+    return ngram_rules.judge(table(spark, sf_dir, "documents"), trusted.select("doc_id"))
