@@ -216,6 +216,9 @@ class Automaton:
                 pass
         return b"".join(self._segments(text))
 
+    def length(self, text: str) -> int:
+        return len(self.encode(text)) // 4
+
     def decode(self, ids: bytes) -> str:
         labels = self.labels
         return b"".join([labels[n] for n in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
@@ -316,13 +319,14 @@ def _with_column(df: DataFrame, path: str, source: str, target: str, kind: str,
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{target}` {kind}"])
     positions = [n for n, f in enumerate(df.schema.fields) if f.name.lower() != target.lower()]
     at = df.columns.index(source)
-    made = pa.binary() if kind == "binary" else pa.string()
+    made = {"binary": pa.binary(), "string": pa.string(), "bigint": pa.int64()}[kind]
+    nothing = b"" if work == "decode" else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = getattr(automaton.value, work)
         for part in slices(batches, source):
-            given = part.column(at).fill_null(_empty(kind)).to_pylist()
-            if work == "encode":
+            given = part.column(at).fill_null(nothing).to_pylist()
+            if work != "decode":
                 automaton.value.prepare(given)
             values = pa.array([one(value) for value in given], made)
             columns = [part.column(n) for n in positions]
@@ -331,10 +335,6 @@ def _with_column(df: DataFrame, path: str, source: str, target: str, kind: str,
     return map_batches(df, run, schema)
 
 
-def _empty(kind: str) -> str | bytes:
-    return "" if kind == "binary" else b""
-
-
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` and ``token_ids``: the ids of the whole ``text``, as little-endian 32-bit numbers.
 
@@ -344,6 +344,11 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     return _with_column(df, path, text, "token_ids", "binary", "encode")
 
 
+def lengths(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``df`` and ``n_tokens``: how many ids the whole ``text`` has."""
+    return _with_column(df, path, text, "n_tokens", "bigint", "length")
+
+
 def decode(df: DataFrame, path: str) -> DataFrame:
     """``df`` with ``token_ids``, and ``decoded``: the labels of the ids, joined. NULL gives the empty text."""
     return _with_column(df, path, "token_ids", "decoded", "string", "decode")

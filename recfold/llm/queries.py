@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recfold.llm import bpe, decontaminate, ngram_rules, pu_quality, simhash
+from recfold.llm import (
+    bpe, decontaminate, license_digest, ngram_rules, pii, pu_quality, simhash, token_lengths, url_rules, warc_zip,
+)
 from recfold.llm.rows import ID, NO_ID
+from recfold.sources.storage import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +81,118 @@ def op5_ngram_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter("doc_id is not null and quality is not null")
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
     return ngram_rules.judge(table(spark, sf_dir, "documents"), trusted.select("doc_id"))
+
+
+@query
+def op2_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(F.col("pii_base"), kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")),
+        F.sha2(pii.as_text(F.col("pii_base")).cast("binary"), 256).alias("base_sha256"),
+        pii.as_text(F.col("pii_spans")).alias("spans"),
+        F.array_join(
+            F.transform("pii_spans", lambda s: F.format_number(s["score"], 2)), ","
+        ).alias("scores"),
+    )
+
+
+@query
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc_zip.write_packages(table(spark, sf_dir, "pages"), f"{scratch_dir(spark)}/packages")
+    read = warc_zip.read_records(warc_zip.locate(packages), payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_lengths.suffix_sums(token_lengths.histogram(docs, tokenizer_file()))
+
+
+@query
+def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.scan(table(spark, sf_dir, "documents"), license_digest.known_digests(spark))
+
+
+SQL["op6_warc_zip"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS low FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > low THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > low THEN low END AS refers_to
+FROM m"""
+
+
+def _url_sql() -> str:
+    """Host rules are compared as text here, pattern rules word by word of the host."""
+    hosts = [rule for rule in url_rules.RULES if rule.level == 0]
+    words = [rule.name for rule in url_rules.RULES if rule.level == 1]
+    listed = ", ".join(
+        f"('{r.name}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}', '{r.verdict}')" for r in hosts
+    )
+    blocked = ", ".join(f"'{word}'" for word in words)
+    return f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT page_id, regexp_extract(rest, '^[^?#]*') AS both FROM u
+), s AS (
+  SELECT page_id, split_part(both, '/', 1) AS raw, substr(both, length(split_part(both, '/', 1)) + 1) AS path FROM h
+), p AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM s
+), r(rule, rule_host, start, verdict) AS (VALUES {listed}), f AS (
+  SELECT p.*, (
+    SELECT max(struct_pack(n := length(rule), rule := rule, verdict := verdict)) FROM r
+    WHERE (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, start)
+  ) AS best, (
+    SELECT max(struct_pack(n := length(w), w := w)) FROM (SELECT unnest(string_split(replace(p.host, '-', '.'), '.')) AS w)
+    WHERE w IN ({blocked})
+  ) AS word FROM p
+)
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN word IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+       CASE WHEN best IS NULL THEN word.w END AS pattern_rule
+FROM f"""
+
+
+SQL["op4_url_rules"] = _url_sql()
+
+
+def _license_sql() -> str:
+    def canonical(text: str) -> str:
+        copyright_line = license_digest.COPYRIGHT_LINE.replace("'", "''")
+        plain = f"regexp_replace(lower({text}), '{copyright_line}', ' ', 'g')"
+        plain = f"trim(regexp_replace({plain}, '[^a-z0-9]+', ' ', 'g'))"
+        for found, used in license_digest.SPELLINGS:
+            plain = f"regexp_replace({plain}, '\\b{found}\\b', '{used}', 'g')"
+        return f"nullif({plain}, '')"
+
+    known = ", ".join(f"('{name}', '{text}')" for name, text in license_digest.KNOWN)
+    return f"""
+WITH k(license, text) AS (VALUES {known}), known AS (
+  SELECT {canonical('text')} AS plain, min(license) AS license FROM k GROUP BY 1
+), d AS (SELECT DISTINCT doc_id, text FROM documents), parts AS (
+  SELECT doc_id, text, true AS whole, {canonical('text')} AS plain FROM d
+  UNION ALL
+  SELECT doc_id, text, false, {canonical('line')} FROM (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line FROM d WHERE contains(text, chr(10)))
+), found AS (
+  SELECT doc_id, text, min(license) FILTER (WHERE whole) AS license,
+         array_to_string(list_sort(list(DISTINCT license)), ',') AS notices,
+         greatest(count(*) FILTER (WHERE NOT whole), least(count(*) FILTER (WHERE whole), 1)) AS n_notices
+  FROM parts JOIN known USING (plain) GROUP BY doc_id, text
+)
+SELECT d.doc_id, found.license, coalesce(notices, '') AS notices, coalesce(n_notices, 0) AS n_notices
+FROM d LEFT JOIN found ON d.doc_id IS NOT DISTINCT FROM found.doc_id AND d.text IS NOT DISTINCT FROM found.text"""
+
+
+SQL["op8_license_digests"] = _license_sql()
