@@ -48,12 +48,17 @@ KNOWN = (
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, words of ASCII letters and digits with one space between, one spelling."""
+    """Lower case, no copyright lines, words of ASCII letters and digits, one spelling."""
     plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
-    plain = F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
+    plain = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), "[^a-z0-9]+", "  ")
     for found, used in SPELLINGS:
-        plain = F.when(F.contains(plain, F.lit(found)), F.regexp_replace(plain, rf"\b{found}\b", used)).otherwise(plain)
-    return plain
+        plain = F.replace(plain, F.lit(_apart(found)), F.lit(_apart(used)))
+    return F.trim(plain)
+
+
+def _apart(words: str) -> str:
+    """Words with a space on either side of each, so that neighbours don't share one."""
+    return "".join(f" {word} " for word in words.split())
 
 
 def digest(text: Column) -> Column:
@@ -91,5 +96,5 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     return rows.select(ID, HASH).distinct().join(found, [ID, HASH], "left").select(
         F.when(F.col(ID) != NO_ID, F.col(ID)).alias("doc_id"), "license",
         F.coalesce("notices", F.lit("")).alias("notices"),
-        F.coalesce(F.greatest("lines", F.least("texts", F.lit(1))), F.lit(0)).cast("long").alias("n_notices"),
+        F.greatest(F.coalesce("lines", F.lit(0)), F.when(F.col("texts") > 0, 1).otherwise(0)).cast("long").alias("n_notices"),
     )

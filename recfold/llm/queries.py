@@ -144,9 +144,9 @@ def _url_sql() -> str:
 WITH u AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), h AS (
-  SELECT page_id, regexp_extract(rest, '^[^?#]*') AS both FROM u
+  SELECT page_id, regexp_extract(rest, '^[^?#]*') AS place FROM u
 ), s AS (
-  SELECT page_id, split_part(both, '/', 1) AS raw, substr(both, length(split_part(both, '/', 1)) + 1) AS path FROM h
+  SELECT page_id, split_part(place, '/', 1) AS raw, substr(place, length(split_part(place, '/', 1)) + 1) AS path FROM h
 ), p AS (
   SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM s
 ), r(rule, rule_host, start, verdict) AS (VALUES {listed}), f AS (
@@ -171,10 +171,11 @@ def _license_sql() -> str:
     def canonical(text: str) -> str:
         copyright_line = license_digest.COPYRIGHT_LINE.replace("'", "''")
         plain = f"regexp_replace(lower({text}), '{copyright_line}', ' ', 'g')"
-        plain = f"trim(regexp_replace({plain}, '[^a-z0-9]+', ' ', 'g'))"
-        for found, used in license_digest.SPELLINGS:
-            plain = f"regexp_replace({plain}, '\\b{found}\\b', '{used}', 'g')"
-        return f"nullif({plain}, '')"
+        plain = f"regexp_replace(' ' || {plain} || ' ', '[^a-z0-9]+', '  ', 'g')"
+        for pair in license_digest.SPELLINGS:
+            found, used = ("".join(f" {word} " for word in words.split()) for words in pair)
+            plain = f"replace({plain}, '{found}', '{used}')"
+        return f"nullif(trim({plain}), '')"
 
     known = ", ".join(f"('{name}', '{text}')" for name, text in license_digest.KNOWN)
     return f"""

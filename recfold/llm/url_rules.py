@@ -97,7 +97,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         "rule_no", F.col("rarest.token").alias("token")
     )
     index = stored(index.join(table.drop("tokens"), "rule_no"), "rule_index")
-    fits = tokens.join(index, "token").filter(F.concat("host", "path").rlike(F.col("pattern")))
+    fits = tokens.join(index, "token").filter(F.rlike(F.concat("host", "path"), F.col("pattern")))
     order = F.struct("level", -F.length("name"), (F.col("verdict") != "block"), "name", "verdict")
     best = fits.groupBy("url").agg(F.min(order).alias("best")).select("url", "best.level", "best.name", "best.verdict")
     # Written, so that the join deals both sides anew and Spark can split a URL that very many rows have.
