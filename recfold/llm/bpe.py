@@ -34,13 +34,13 @@ SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-_CACHED = 400_000
+_CACHED = 120_000
 _CACHED_CHARS = 64
 _TOGETHER = 24
 _SHIFT = 44
 _SLOTS = 1 << (64 - _SHIFT)
 _compiled: dict[str, Automaton] = {}
-_sent: dict[tuple[str, str], object] = {}
+_sent: dict[tuple[str, str, bool], object] = {}
 
 
 class _Chunks(dict):
@@ -58,6 +58,17 @@ class _Chunks(dict):
         return made
 
 
+@dataclass
+class Labels:
+    """What decoding needs: the bytes on the arc of each token."""
+
+    labels: list[bytes]
+
+    def decode(self, ids: bytes) -> str:
+        labels = self.labels
+        return b"".join([labels[n] for n in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+
+
 @dataclass
 class Automaton:
     labels: list[bytes]
@@ -220,8 +231,7 @@ class Automaton:
         return len(self.encode(text)) // 4
 
     def decode(self, ids: bytes) -> str:
-        labels = self.labels
-        return b"".join([labels[n] for n in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        return Labels(self.labels).decode(ids)
 
 
 def _labels_hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -305,16 +315,17 @@ def compile_file(path: str) -> Automaton:
     return _compiled[path]
 
 
-def _shared(spark: SparkSession, path: str):
-    """The automaton as a broadcast; its size is that of the vocabulary file's table, not the data's."""
-    key = spark.sparkContext.applicationId, path
+def _shared(spark: SparkSession, path: str, labels_only: bool):
+    """The automaton, or its labels, as a broadcast; its size follows the vocabulary file, not the data."""
+    key = spark.sparkContext.applicationId, path, labels_only
     if key not in _sent:
-        _sent[key] = spark.sparkContext.broadcast(compile_file(path))
+        automaton = compile_file(path)
+        _sent[key] = spark.sparkContext.broadcast(Labels(automaton.labels) if labels_only else automaton)
     return _sent[key]
 
 
 def _with_column(df: DataFrame, path: str, source: str, target: str, kind: str, work) -> DataFrame:
-    automaton = _shared(df.sparkSession, path)
+    automaton = _shared(df.sparkSession, path, work == "decode")
     fields = [f for f in df.schema.fields if f.name.lower() != target.lower()]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{target}` {kind}"])
     positions = [n for n, f in enumerate(df.schema.fields) if f.name.lower() != target.lower()]
