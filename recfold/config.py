@@ -109,14 +109,10 @@ MANDATORY_TABLES = ["der_ocorrencia", "der_veiculos", "der_envolvidos"]
 class Skew:
     """When a join key counts as hot, and how finely its rows are spread.
 
-    A key is hot once it holds more than ``rows_per_task`` rows. Frames no larger than that
-    cannot hold a hot key and are not probed. ``tracked`` bounds the memory of the probe;
-    ``max_keys`` bounds what the probe returns.
+    A key is hot once it holds more than ``rows_per_task`` rows.
     """
 
     rows_per_task: int = 1_000_000
-    max_keys: int = 200
-    tracked: int = 4_096
 
 
 @dataclass(frozen=True)

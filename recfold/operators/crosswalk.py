@@ -63,7 +63,10 @@ def profile_records(records: DataFrame, skew: Skew = Skew()) -> RecordProfile:
 
 
 def _own_keys_apart(keyed: DataFrame) -> bool:
-    """Value ranges settle it without a shuffle in most cases, else a join of the bare keys."""
+    """Whether own keys are unique and no other record has them.
+
+    The bare keys are counted; value ranges settle the rest in most cases, else a join of them.
+    """
     own, key = policy.keeps_own_key(), F.col("chave_dedup")
     bounds = keyed.agg(
         F.min(F.when(own, key)).alias("own_low"),
@@ -75,6 +78,9 @@ def _own_keys_apart(keyed: DataFrame) -> bool:
             (F.col("own_high") < F.col("shared_low")) | (F.col("shared_high") < F.col("own_low")), F.lit(True)
         )
     ).first()
+    repeated = keyed.filter(own).groupBy("chave_dedup").count().filter("count > 1")
+    if not repeated.isEmpty():
+        return False
     if bounds[0]:
         return True
     shared = keyed.filter(~own).select("chave_dedup").distinct()

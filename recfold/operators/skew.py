@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recfold.config import Skew
 
 _MERGE_GROUPS = 256
+# What a summary can track in Spark, and the keys it then tells apart for certain. Beyond
+# 250,000 hot keys the limit rises with the rows, to a share of 1 / 250,000.
+_LEAST_TRACKED, _MOST_TRACKED, _MOST_KEYS = 4_096, 1_000_000, 250_000
 # Per key column: key and estimated number of rows.
 HotKeys = dict[str, dict[str, int]]
 
@@ -16,28 +19,31 @@ HotKeys = dict[str, dict[str, int]]
 def hot_keys(df: DataFrame, columns: dict[str, Column], skew: Skew) -> HotKeys:
     """Keys holding more than ``skew.rows_per_task`` rows, with their estimated row counts.
 
-    One pass with a fixed-size frequency summary per column and no shuffle of the keys. Each
-    task's summaries merge in a first layer of groups and those in one row, so that no task
-    receives the summaries of all. At most ``skew.max_keys`` entries per column come back.
+    A frequency summary per column and no shuffle of the keys. Its size follows from the number
+    of rows: at most ``rows / rows_per_task`` keys can be above the limit, the summary tracks
+    several times as many, and all that it finds come back. Each task's summaries merge in a
+    first layer of groups and those in one row, so that no task receives the summaries of all.
 
     The result only decides how rows are spread: a key that is missed or listed needlessly
     changes no join result.
     """
-    if df.count() <= skew.rows_per_task:
-        return {name: {} for name in columns}
+    rows = df.count()
+    limit = max(skew.rows_per_task, ceil(rows / _MOST_KEYS))
+    most = rows // limit + 1
+    tracked = min(_MOST_TRACKED, max(_LEAST_TRACKED, 4 * most))
     keys = df.select(*[column.cast("string").alias(name) for name, column in columns.items()])
     layer = keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("__layer")).agg(*[
-        F.expr(f"approx_top_k_accumulate(`{name}`, {skew.tracked})").alias(name) for name in columns
+        F.expr(f"approx_top_k_accumulate(`{name}`, {tracked})").alias(name) for name in columns
     ])
     summary = layer.agg(*[
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{name}`, {skew.tracked}), {skew.max_keys})").alias(name)
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{name}`, {tracked}), {most})").alias(name)
         for name in columns
     ]).first()
     return {
         name: {
             entry["item"]: entry["count"]
             for entry in summary[name] or []
-            if entry["item"] is not None and entry["count"] > skew.rows_per_task
+            if entry["item"] is not None and entry["count"] > limit
         }
         for name in columns
     }
@@ -68,14 +74,18 @@ def spread_join(
     else:
         condition = (F.coalesce(key, stand_in.cast("string")) == other) & key.isNotNull()
     if hot:
-        salts = max(2, ceil(max(hot.values()) / skew.rows_per_task))
-        left = left.withColumn(
-            "__salt", F.when(key.isin(list(hot)), F.pmod(stand_in, F.lit(salts))).otherwise(0).cast("int")
-        )
-        every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-        right = right.withColumn(
-            "__right_salt",
-            F.explode(F.when(other.isin(list(hot)), every_salt).otherwise(F.array(F.lit(0)))),
-        )
+        # Each key by its own count, to a power of two, so that few lists of keys are needed.
+        by_salts: dict[int, list[str]] = {}
+        for name, rows in hot.items():
+            by_salts.setdefault(max(2, 1 << (ceil(rows / skew.rows_per_task) - 1).bit_length()), []).append(name)
+
+        def salts(of: Column) -> Column:
+            count = F.lit(1)
+            for number, names in by_salts.items():
+                count = F.when(of.isin(names), number).otherwise(count)
+            return count
+
+        left = left.withColumn("__salt", F.pmod(stand_in, salts(key)).cast("int"))
+        right = right.withColumn("__right_salt", F.explode(F.sequence(F.lit(0), salts(other) - 1)))
         condition = condition & (F.col("__salt") == F.col("__right_salt"))
     return left.join(right, condition, how).drop("__right_key", "__salt", "__right_salt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recfold import config as c
@@ -12,10 +13,10 @@ from recfold.config import Expectations, Skew
 from recfold.operators import audit, crosswalk as cw, golden as gold, quality, relational, reports
 from recfold.operators.crosswalk import RecordProfile
 from recfold.sinks.files import write_csv, write_json, write_parquet
-from recfold.sources.delimited import combine_reports, read_tolerant_csv
+from recfold.sources.delimited import combine_reports, failed_report, read_tolerant_csv
 from recfold.sources.fingerprint import compare_fingerprints, fingerprint
 from recfold.sources.storage import materialise, scratch_dir
-from recfold.sources.tables import load_child, read_records
+from recfold.sources.tables import SourceUnavailable, UnreadableSource, load_child, read_records
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,8 @@ def decide(records: DataFrame, children: dict[str, DataFrame], skew: Skew = Skew
     """With ``scratch``, what several outputs read again is written there once."""
     profile = cw.profile_records(records, skew)
     annotated = cw.annotate(records, profile, skew)
-    aggregates = relational.occurrence_aggregates(children, skew=skew)
+    heavy = relational.repeats_heavily(children["der_ocorrencia"], skew)
+    aggregates = relational.occurrence_aggregates(children, heavy, skew)
     if scratch:
         annotated = materialise(annotated, f"{scratch}/annotated")
         aggregates = materialise(aggregates, f"{scratch}/aggregates")
@@ -78,10 +80,14 @@ def read_children(spark: SparkSession, config: JobConfig, scratch: str) -> tuple
     children, ingest = {}, []
     for name in c.CHILD_TABLES:
         def read(name: str = name) -> DataFrame:
-            rows, report = read_tolerant_csv(
-                spark, config.children[name], f"{scratch}/{name}", sep=config.sep,
-                encoding=config.encoding, multiline=config.multiline,
-            )
+            try:
+                rows, report = read_tolerant_csv(
+                    spark, config.children[name], f"{scratch}/{name}", sep=config.sep,
+                    encoding=config.encoding, multiline=config.multiline,
+                )
+            except UnreadableSource as error:
+                ingest.append(combine_reports(failed_report(error.profile), name))
+                raise
             ingest.append(combine_reports(report, name))
             return rows
 
@@ -100,7 +106,10 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     def output(name: str) -> str:
         return f"{config.output}/{name}"
 
-    before = materialise(fingerprint(spark, config.protected), f"{scratch}/before") if config.protected else None
+    try:
+        before = materialise(fingerprint(spark, config.protected), f"{scratch}/before") if config.protected else None
+    except AnalysisException as error:
+        raise SourceUnavailable(f"FAIL_BLOQUEADO: a protected file is missing: {error}") from error
     records = read_records(spark, config.records)
     children, ingest = read_children(spark, config, scratch)
     write_json(reduce(DataFrame.unionByName, ingest), output("ingest_report"))

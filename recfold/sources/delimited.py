@@ -9,6 +9,7 @@ have their separators counted, outside quoted fields.
 
 from __future__ import annotations
 
+import csv
 import re
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from recfold import config as c
 from recfold.sources.storage import materialise
+from recfold.sources.tables import UnreadableSource
 
 _CORRUPT = "__corrupt"
 _FILE = "__file"
@@ -59,7 +61,8 @@ def _literal_path(path: str) -> str:
 
 
 def _quoted_field(sep: str) -> str:
-    return rf'(^|\Q{sep}\E)"(?:[^"]|"")*"'
+    # Possessive, so that the matcher loops over a long field instead of recursing into it.
+    return rf'(^|\Q{sep}\E)"(?:[^"]++|"")*+"'
 
 
 def field_count(line: Column, sep: str) -> Column:
@@ -69,12 +72,28 @@ def field_count(line: Column, sep: str) -> Column:
 
 
 def line_profile(spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
-    """Physical lines per file, and whether any of them leaves a quoted field open."""
+    """Per file: physical lines, first line, and whether any line leaves a quoted field open."""
     lines = spark.read.option("encoding", encoding).text(path)
     bare = F.regexp_replace("value", _quoted_field(sep), "$1")
-    return lines.groupBy(_file_path()).agg(
-        F.count("*").alias("linhas"), F.max(bare.rlike(rf'(^|\Q{sep}\E)"')).alias("quebra_em_campo")
+    at_start = (F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")
+    placed = lines.select(
+        _file_path(), bare.rlike(rf'(^|\Q{sep}\E)"').alias("aberta"),
+        F.when(at_start, F.col("value")).alias("linha"),
+        F.when(at_start, F.monotonically_increasing_id()).alias("posicao"),
     )
+    return placed.groupBy(_FILE).agg(
+        F.count("*").alias("linhas"),
+        F.min_by("linha", "posicao").alias("primeira_linha"),
+        F.max("aberta").alias("quebra_em_campo"),
+    )
+
+
+def open_at_end(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> DataFrame:
+    """Those of the files with line breaks in fields that end inside a quoted field."""
+    whole = spark.read.option("encoding", encoding).text(paths, wholetext=True)
+    start = rf'(^|\n|\r|\Q{sep}\E)"'
+    bare = F.regexp_replace("value", rf'{start}(?:[^"]++|"")*+"', "$1")
+    return whole.filter(bare.rlike(start)).select(_file_path())
 
 
 def parse(
@@ -127,31 +146,64 @@ def read_tolerant_csv(
 
     The text is parsed once into a Parquet table below ``scratch``; rows and report both come
     from there. With ``multiline=None`` only files with a line break inside a quoted field are
-    read whole, all others are split.
+    read whole, all others are split. Files are read under their own headers and aligned by name.
+
+    ``UnreadableSource`` is raised, and nothing returned, if no file has a line, if the files'
+    column sets differ, or if a file ends inside a quoted field: what a parser makes of such a
+    file lacks rows.
     """
-    header = header or read_header(spark, path, sep, encoding)
     profile = materialise(line_profile(spark, path, sep, encoding), f"{scratch}/profile")
-    if multiline is None:
-        split, whole = _by_line_breaks(profile, path)
-    else:
-        split, whole = ([], [path]) if multiline else ([path], [])
-    parts = [
-        parse(spark, paths, header, sep, encoding, multiline=way)
-        for paths, way in ((split, False), (whole, True))
-        if paths
-    ]
+    parts = []
+    for names, paths in _headers(profile, path, header, sep):
+        if multiline is None:
+            split, whole = _by_line_breaks(profile, paths, path)
+        else:
+            split, whole = ([], paths) if multiline else (paths, [])
+        if whole and not (damaged := open_at_end(spark, whole, sep, encoding)).isEmpty():
+            raise UnreadableSource(f"{damaged.first()[0]} ends inside a quoted field", profile)
+        parts += [
+            parse(spark, some, names, sep, encoding, multiline=way) for some, way in ((split, False), (whole, True)) if some
+        ]
     landed = materialise(reduce(DataFrame.unionByName, parts), f"{scratch}/rows")
     return landed.filter(_KEPT).drop(_FILE, _KEPT), reject_report(landed, profile)
 
 
-def _by_line_breaks(profile: DataFrame, path: str) -> tuple[list[str], list[str]]:
+def _files(profile: DataFrame, condition: Column) -> list[str]:
+    return [_literal_path(row[_FILE]) for row in profile.filter(condition).select(_FILE).collect()]
+
+
+def _headers(
+    profile: DataFrame, path: str, header: list[str] | None, sep: str
+) -> list[tuple[list[str], list[str]]]:
+    """Column names, and the files that have them; files are listed only where headers differ."""
+    firsts = [row[0] for row in profile.select("primeira_linha").distinct().collect()]
+    if not any(firsts):
+        raise UnreadableSource(f"{path} has no header", profile)
+    if header:
+        return [(header, [path])]
+    names = {line: clean_header([n or None for n in next(csv.reader([line], delimiter=sep))]) for line in firsts if line}
+    if len({tuple(sorted(columns)) for columns in names.values()}) > 1:
+        raise UnreadableSource(f"files of {path} have different columns", profile)
+    if len({tuple(columns) for columns in names.values()}) == 1:
+        return [(next(iter(names.values())), [path])]
+    return [(columns, _files(profile, F.col("primeira_linha") == line)) for line, columns in names.items()]
+
+
+def _by_line_breaks(profile: DataFrame, paths: list[str], path: str) -> tuple[list[str], list[str]]:
     """Files that can be split by line, and files with line breaks inside fields."""
+    whole = _files(profile, F.col("quebra_em_campo"))
+    if paths != [path]:
+        return [p for p in paths if p not in set(whole)], [p for p in whole if p in set(paths)]
+    return (_files(profile, ~F.col("quebra_em_campo")), whole) if whole else (paths, [])
 
-    def files(condition: str) -> list[str]:
-        return [_literal_path(row[_FILE]) for row in profile.filter(condition).select(_FILE).collect()]
 
-    whole = files("quebra_em_campo")
-    return (files("NOT quebra_em_campo"), whole) if whole else ([path], [])
+def failed_report(profile: DataFrame) -> DataFrame:
+    """The report of files of which no row was taken."""
+    return _with_rejects(profile.select(
+        F.element_at(F.split(_FILE, "/"), -1).alias("arquivo"),
+        (F.col("linhas") - 1).alias("linhas_esperadas"),
+        F.lit(0).cast("long").alias("linhas_sucesso"), F.lit(0).cast("long").alias("linhas_excedentes"),
+    ))
 
 
 def reject_report(landed: DataFrame, profile: DataFrame) -> DataFrame:

@@ -14,6 +14,14 @@ class SourceUnavailable(Exception):
     """A source the job cannot do without is missing or lacks a column."""
 
 
+class UnreadableSource(Exception):
+    """A source whose rows cannot all be told apart; ``profile`` has its files and lines."""
+
+    def __init__(self, message: str, profile: DataFrame):
+        super().__init__(message)
+        self.profile = profile
+
+
 def require_columns(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
     missing = [column for column in columns if column not in df.columns]
     if missing:
@@ -33,15 +41,15 @@ def empty_table(spark: SparkSession, columns: list[str]) -> DataFrame:
 def load_child(spark: SparkSession, name: str, read: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
     """The child table and whether it was there.
 
-    A missing optional table becomes an empty one, so that its attributes come out NULL; a
-    missing mandatory one stops the job.
+    An optional table that is missing, or cannot be read whole, becomes an empty one, so that its
+    attributes come out NULL; such a mandatory one stops the job.
     """
     columns = c.CHILD_TABLES[name]
     try:
         return require_columns(read(), name, columns), True
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+    except (AnalysisException, UnreadableSource, KeyError) as error:
+        if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":
             raise
         if name in c.MANDATORY_TABLES:
-            raise SourceUnavailable(f"FAIL_BLOQUEADO: {name} could not be loaded") from error
+            raise SourceUnavailable(f"FAIL_BLOQUEADO: {name} could not be loaded: {error}") from error
         return empty_table(spark, columns), False

@@ -14,7 +14,7 @@ from recfold.operators.skew import hot_keys, spread_join
 from recfold.plans import adapters
 from recfold.plans.job import decide
 
-TINY = Skew(rows_per_task=5, max_keys=50, tracked=64)
+TINY = Skew(rows_per_task=5)
 
 
 def rows_of(df):
@@ -202,3 +202,26 @@ def test_attached_export_equals_the_fused_form(spark):
     annotated = cw.annotate(records)
     attached = cw.attach_crosswalk(records, cw.crosswalk(annotated))
     assert rows_of(attached) == rows_of(annotated.select(attached.columns))
+
+
+def test_probe_lists_every_hot_key(spark):
+    many = spark.range(300 * 20).select((F.col("id") % 300).cast("string").alias("k"))
+    assert len(hot_keys(many, {"k": F.col("k")}, Skew(rows_per_task=15))["k"]) == 300
+    rare = spark.range(400_000).select(F.concat(F.lit("r"), "id").alias("k"))
+    hot = spark.range(40 * 200).select((F.col("id") % 40).cast("string").alias("k"))
+    assert set(hot_keys(rare.union(hot), {"k": F.col("k")}, Skew(rows_per_task=150))["k"]) >= {str(n) for n in range(40)}
+
+
+def test_repeated_ids_take_the_general_path(spark):
+    rows = [("I1", c.WAZE, None, "f", "UNICO", None), ("I1", "SEJUSP", None, "f", "POSSIVEL", None)]
+    rows += [("I2", c.WAZE, None, "f", "UNICO", None)]
+    width = len(random_records(1)[0])
+    records = fixtures.records(spark, [row + (None,) * (width - len(row)) for row in rows][:0] + [
+        (r[0], r[1], *random_records(1)[0][2:]) for r in rows
+    ])
+    records = records.withColumn("id_original_fonte", F.lit(None).cast("string")).withColumn(
+        "flag_duplicidade", F.lit("POSSIVEL")
+    )
+    profile = cw.profile_records(records)
+    assert not profile.own_keys_apart
+    assert rows_of(cw.annotate(records, profile)) == rows_of(cw.annotate(records))

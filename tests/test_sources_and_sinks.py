@@ -10,7 +10,7 @@ from recfold.sinks.files import write_csv, write_json, write_parquet
 from recfold.sources import delimited
 from recfold.sources.fingerprint import compare_fingerprints, fingerprint
 from recfold.sources.storage import materialise, scratch_dir
-from recfold.sources.tables import SourceUnavailable, empty_table, load_child, read_records
+from recfold.sources.tables import SourceUnavailable, UnreadableSource, empty_table, load_child, read_records
 
 FIXTURE = (
     b"\xef\xbb\xbfnumero;b;c\n1;2;3\n1;2\n1;2;3;4\n\n;;\nNA;NaN;null\n1;2;3;\n1;2;3;;\n"
@@ -155,3 +155,40 @@ def test_scratch_follows_the_session(spark):
     assert path != scratch_dir(spark)
     if shared:
         assert path.startswith(shared)
+
+
+def test_long_quoted_fields(spark, tmp_path):
+    content = b'a;b\n1;"' + b"x" * 1_000_000 + b'"\n2;"' + b'""' * 100_000 + b'"\n'
+    rows, _ = read(spark, tmp_path, content)
+    assert {row.a: len(row.b) for row in rows.collect()} == {"1": 1_000_000, "2": 100_000}
+
+
+def test_a_file_that_ends_inside_a_field_gives_no_rows(spark, tmp_path):
+    good = b"".join(b"%d;x;y\n" % n for n in range(100))
+    with pytest.raises(UnreadableSource) as error:
+        read(spark, tmp_path, b"a;b;c\n" + good + b'77;"open;y\n' + good)
+    report = delimited.failed_report(error.value.profile).first()
+    assert (report.linhas_esperadas, report.linhas_sucesso, report.linhas_rejeitadas) == (201, 0, 201)
+    with pytest.raises(SourceUnavailable, match="FAIL_BLOQUEADO"):
+        load_child(spark, "der_veiculos", lambda: read(spark, tmp_path, b'a;b\n1;"x\n')[0])
+    table, there = load_child(spark, "der_cond_via", lambda: read(spark, tmp_path, b'a;b\n1;"x\n')[0])
+    assert not there and table.isEmpty()
+
+
+def test_files_are_aligned_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.csv").write_bytes(b'c;b;a\n3;"2\n2";1\n')
+    rows, _ = read(spark, tmp_path, b"a;b;c\n1;2;3\n")
+    assert sorted(map(tuple, rows.select("a", "b", "c").collect())) == [("1", "2", "3"), ("1", "2\n2", "3")]
+    (tmp_path / "in" / "c.csv").write_bytes(b"a;b;d\n1;2;3\n")
+    with pytest.raises(UnreadableSource, match="different columns"):
+        read(spark, tmp_path, b"a;b;c\n1;2;3\n")
+
+
+def test_empty_and_unlisted_sources_reach_the_gate(spark, tmp_path):
+    with pytest.raises(UnreadableSource, match="no header"):
+        read(spark, tmp_path, b"")
+    children = {}
+    assert not load_child(spark, "der_embriaguez", lambda: children["der_embriaguez"])[1]
+    with pytest.raises(SourceUnavailable):
+        load_child(spark, "der_ocorrencia", lambda: children["der_ocorrencia"])
