@@ -39,7 +39,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents with ``token_ids``, ``n_tokens`` and whether decoding gives the text back."""
     path = queries.tokenizer_file()
     kept = [c for c in docs.columns if c.lower() not in ("token_ids", "n_tokens", "decoded", "round_trip")]
-    decoded = bpe.decode(bpe.encode(docs.select(*(F.col(f"`{c}`") for c in kept)), path), path)
+    decoded = bpe.round_trip(docs.select(*(F.col(f"`{c}`") for c in kept)), path)
     return decoded.select(
         *(F.col(f"`{c}`") for c in kept), "token_ids", bpe.token_count().alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),

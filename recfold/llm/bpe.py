@@ -44,19 +44,30 @@ _sent: dict[tuple[str, str, bool], object] = {}
 
 
 class _Chunks(dict):
-    """Encoded pieces of text, made when first asked for; emptied when full, so memory is bounded."""
+    """Encoded pieces of text, made when first asked for.
+
+    When half of the room is taken, what is there becomes the old half and what was old goes;
+    pieces asked for again move over, so frequent ones stay and memory is bounded.
+    """
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, piece: str) -> bytes | None:
-        made = self.make(piece)
+        made = self.old[piece] if piece in self.old else self.make(piece)
         if len(piece) <= _CACHED_CHARS:
-            if len(self) >= _CACHED:
-                self.clear()
+            self.room(1)
             self[piece] = made
         return made
 
+    def room(self, more: int) -> None:
+        if len(self) + more > _CACHED // 2:
+            self.old = dict(self)
+            self.clear()
+
+    def unknown(self, pieces: set[str]) -> set[str]:
+        return (pieces - self.keys()) - self.old.keys()
+
 
 @dataclass
 class Labels:
@@ -186,11 +197,10 @@ class Automaton:
 
     def prepare(self, texts: list[str]) -> None:
         """Encode what is new in some texts in one go."""
-        chunks = {chunk for text in texts for chunk in text.split(" ")} - self.spaced.keys()
-        new = {word for chunk in chunks for word in SPLIT.findall(" " + chunk)} - self.words.keys()
+        chunks = self.spaced.unknown({chunk for text in texts for chunk in text.split(" ")})
+        new = self.words.unknown({word for chunk in chunks for word in SPLIT.findall(" " + chunk)})
         short = sorted(word for word in new if len(word) <= _TOGETHER)
-        if len(self.words) + len(short) > _CACHED:
-            self.words.clear()
+        self.words.room(len(short))
         self.words.update(zip(short, self.encode_words([word.encode() for word in short]), strict=True))
 
     def _word(self, word: str) -> bytes:
@@ -227,9 +237,6 @@ class Automaton:
                 pass
         return b"".join(self._segments(text))
 
-    def length(self, text: str) -> int:
-        return len(self.encode(text)) // 4
-
     def decode(self, ids: bytes) -> str:
         return Labels(self.labels).decode(ids)
 
@@ -263,12 +270,13 @@ def build(vocab: dict[str, int], merges: list[tuple[str, str]], special: dict[st
 
     for left, right in merges:
         u, v, w = vocab[left], vocab[right], vocab[left + right]
-        known.add(w)
         made = max(made, w + 1)
         (iu, bu), (iv, bv), (iw, bw) = bit(u), bit(v), bit(w)
         without = np.flatnonzero(lost[:made, iu] & bu)  # states without an arc u get none for w
         lost[without, iw] |= bw
-        if lost[u, iv] & bv:
+        if u in known and v in known and not lost[u, iv] & bv:
+            known.add(w)
+        else:
             lost[:, iw] |= bw  # no path u, v is left: w is never made
         lost[w] = lost[v]
         lost[u, iv] |= bv
@@ -324,24 +332,35 @@ def _shared(spark: SparkSession, path: str, labels_only: bool):
     return _sent[key]
 
 
-def _with_column(df: DataFrame, path: str, source: str, target: str, kind: str, work) -> DataFrame:
-    automaton = _shared(df.sparkSession, path, work == "decode")
-    fields = [f for f in df.schema.fields if f.name.lower() != target.lower()]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"`{target}` {kind}"])
-    positions = [n for n, f in enumerate(df.schema.fields) if f.name.lower() != target.lower()]
+def _with_columns(df: DataFrame, path: str, source: str, made: dict[str, str]) -> DataFrame:
+    """``df`` with columns made from ``source``, named after what they hold; there ones are replaced."""
+    automaton = _shared(df.sparkSession, path, list(made) == ["decoded"])
+    others = [(n, f) for n, f in enumerate(df.schema.fields) if f.name.lower() not in made]
+    names = [*(f.name for _, f in others), *made]
+    schema = ", ".join([
+        *(f"`{f.name}` {f.dataType.simpleString()}" for _, f in others), *(f"{name} {kind}" for name, kind in made.items())
+    ])
     at = df.columns.index(source)
-    made = {"binary": pa.binary(), "string": pa.string(), "bigint": pa.int64()}[kind]
-    nothing = b"" if work == "decode" else ""
+    kinds = {"binary": pa.binary(), "string": pa.string(), "bigint": pa.int64()}
+    types = {name: kinds[kind] for name, kind in made.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = getattr(automaton.value, work)
+        table = automaton.value
         for part in slices(batches, source):
-            given = part.column(at).fill_null(nothing).to_pylist()
-            if work != "decode":
-                automaton.value.prepare(given)
-            values = pa.array([one(value) for value in given], made)
-            columns = [part.column(n) for n in positions]
-            yield pa.RecordBatch.from_arrays([*columns, values], names=[*(f.name for f in fields), target])
+            column = part.column(at)
+            found = {}
+            if list(types) == ["decoded"]:
+                found["token_ids"] = [ids or b"" for ids in column.to_pylist()]
+            else:
+                texts = [text or "" for text in column.to_pylist()]
+                table.prepare(texts)
+                found["token_ids"] = [table.encode(text) for text in texts]
+            if "n_tokens" in types:
+                found["n_tokens"] = [len(ids) // 4 for ids in found["token_ids"]]
+            if "decoded" in types:
+                found["decoded"] = [table.decode(ids) for ids in found["token_ids"]]
+            arrays = [pa.array(found[name], kind) for name, kind in types.items()]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n, _ in others), *arrays], names=names)
 
     return map_batches(df, run, schema)
 
@@ -352,17 +371,22 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     NULL counts as the empty text, which has no ids. Strings of added tokens in a text become
     those tokens. A column of the same name is replaced.
     """
-    return _with_column(df, path, text, "token_ids", "binary", "encode")
+    return _with_columns(df, path, text, {"token_ids": "binary"})
 
 
 def lengths(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` and ``n_tokens``: how many ids the whole ``text`` has."""
-    return _with_column(df, path, text, "n_tokens", "bigint", "length")
+    return _with_columns(df, path, text, {"n_tokens": "bigint"})
 
 
 def decode(df: DataFrame, path: str) -> DataFrame:
     """``df`` with ``token_ids``, and ``decoded``: the labels of the ids, joined. NULL gives the empty text."""
-    return _with_column(df, path, "token_ids", "decoded", "string", "decode")
+    return _with_columns(df, path, "token_ids", {"decoded": "string"})
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``encode``, then ``decode`` of those ids, in one pass: one Python worker a task instead of two."""
+    return _with_columns(df, path, text, {"token_ids": "binary", "decoded": "string"})
 
 
 def token_count(token_ids: str = "token_ids"):

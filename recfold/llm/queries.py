@@ -34,10 +34,8 @@ def tokenizer_file() -> str:
 
 @query
 def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_file()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path).select("doc_id", "token_ids")
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(docs, tokenizer_file()).select(
         "doc_id",
         bpe.token_count().alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
