@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recfold.llm.rows import HASH, ID, NO_ID, identity
@@ -62,16 +64,19 @@ def _apart(words: str) -> str:
 
 
 def digest(text: Column) -> Column:
-    """Digest of the canonical form; NULL where nothing is left of the text."""
-    plain = canonical(text)
-    return F.when(plain != "", F.sha2(plain.cast("binary"), 256))
+    """Digest of the canonical form, never NULL: a join need not compute it again to look for NULLs."""
+    return F.coalesce(F.sha2(canonical(F.coalesce(text, F.lit(""))).cast("binary"), 256), F.lit(""))
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """``digest``, ``license`` of a list of texts; the smallest name where two texts are equal."""
+    """``digest``, ``license`` of a list of texts; the smallest name where two texts are equal.
+
+    A text of which nothing is left is none.
+    """
     rows = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in known))
     listed = spark.range(1).select(F.inline(rows)).select(digest(F.col("text")).alias("digest"), "license")
-    return listed.groupBy("digest").agg(F.min("license").alias("license"))
+    nothing = hashlib.sha256(b"").hexdigest()
+    return listed.filter(F.col("digest") != nothing).groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
