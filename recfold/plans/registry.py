@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,9 +12,9 @@ from recfold.functions import keys, policy
 from recfold.operators import audit, crosswalk as cw, golden as gold, quality, relational, reports
 from recfold.plans import adapters
 from recfold.plans.job import Decision, decide
-from recfold.sinks.files import write_csv, write_parquet
+from recfold.sinks.files import write_csv, write_json, write_parquet
 from recfold.sources.delimited import combine_reports, read_tolerant_csv
-from recfold.sources.fingerprint import compare_fingerprints, fingerprint
+from recfold.sources.fingerprint import compare_fingerprints, content_fingerprint, fingerprint
 from recfold.sources.storage import materialise, scratch_dir
 from recfold.sources.tables import load_child
 
@@ -340,31 +341,62 @@ def csv_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # File jobs
 
 
-def _input_files(sf_dir: str) -> list[str]:
-    return [f"{sf_dir}/{table}.parquet" for table in adapters.TABLES]
+def _input_files(sf_dir: str) -> dict[str, str]:
+    return {f"{table}.parquet": f"{sf_dir}/{table}.parquet" for table in adapters.TABLES}
 
 
-def _file_name(df: DataFrame) -> DataFrame:
-    return df.withColumn("arquivo", F.element_at(F.split("arquivo", "/"), -1))
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table: its name, its rows and the fingerprint of its content."""
+    return reduce(DataFrame.unionByName, [
+        content_fingerprint(df).select(F.lit(name).alias("arquivo"), "linhas", "sha256") for name, df in tables.items()
+    ])
+
+
+def _input_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contents({name: spark.read.parquet(path) for name, path in _input_files(sf_dir).items()})
+
+
+def _outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The Parquet outputs of the job, written and read back."""
+    scratch = scratch_dir(spark)
+    decision = _decision(spark, sf_dir, scratch)
+    made = {
+        "occurrence_aggregates": decision.aggregates, "golden": decision.golden, "full_records": decision.full_records,
+    }
+    for name, df in made.items():
+        write_parquet(df, f"{scratch}/out/{name}")
+    return {name: spark.read.parquet(f"{scratch}/out/{name}") for name in made}
 
 
 @query
 def file_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _file_name(fingerprint(spark, _input_files(sf_dir)))
+    return _input_contents(spark, sf_dir)
 
 
 @query
 def output_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a written golden table."""
-    path = f"{scratch_dir(spark)}/golden"
-    write_parquet(golden_records(spark, sf_dir), path)
-    return fingerprint(spark, path)
+    return _contents(_outputs(spark, sf_dir))
 
 
 @query
 def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The input files before and after the golden table was made from them."""
-    scratch = scratch_dir(spark)
-    before = materialise(fingerprint(spark, _input_files(sf_dir)), f"{scratch}/before")
-    write_parquet(golden_records(spark, sf_dir), f"{scratch}/golden")
-    return _file_name(compare_fingerprints(before, fingerprint(spark, _input_files(sf_dir))))
+    """The input tables before and after the outputs were made from them."""
+    before = materialise(_input_contents(spark, sf_dir), f"{scratch_dir(spark)}/before")
+    _outputs(spark, sf_dir)
+    return compare_fingerprints(before, _input_contents(spark, sf_dir))
+
+
+@query
+def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary written as JSON lines and read back."""
+    path = f"{scratch_dir(spark)}/summary"
+    summary = summary_counts(spark, sf_dir)
+    write_json(summary, path)
+    return spark.read.schema(summary.schema).json(path)
+
+
+@query
+def file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and digest of the bytes of the input files; no SQL sees them."""
+    files = fingerprint(spark, list(_input_files(sf_dir).values()))
+    return files.withColumn("arquivo", F.element_at(F.split("arquivo", "/"), -1))

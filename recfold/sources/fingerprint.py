@@ -1,4 +1,4 @@
-"""Content fingerprints of files, one row per file."""
+"""Fingerprints: of the bytes of files, one row per file, and of the rows of a table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructField
 
 # Files up to this size are hashed from one binary value; larger ones are read in pieces.
 WHOLE_LIMIT = 128 * 1024 * 1024
@@ -47,6 +48,32 @@ def fingerprint(spark: SparkSession, paths: str | list[str], whole_limit: int =
     )
 
 
+def _as_text(field: StructField) -> Column:
+    """A value with its length, so that neighbours cannot run together; NULL is a mark of its own."""
+    value = F.col(f"`{field.name}`")
+    text = value.cast("string")
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        text = F.coalesce(value.try_cast("decimal(38,6)").cast("string"), text)
+    return F.coalesce(F.concat(F.lit("+"), F.length(text), F.lit(":"), text), F.lit("-"))
+
+
+def content_fingerprint(df: DataFrame) -> DataFrame:
+    """``linhas`` and ``sha256`` of a table, the same for any order, partitions or files of its rows.
+
+    The values of a row, by column name, give a SHA-256 whose parts are summed over all rows: tasks
+    reduce what they read to one row, and repeated rows count. Numbers with a fraction count to
+    six decimals. An empty table has 0 rows.
+    """
+    fields = sorted(df.schema.fields, key=lambda field: field.name)
+    digests = df.select(F.sha2(F.concat(*map(_as_text, fields)), 256).alias("digest"))
+    parts = [F.conv(F.substring("digest", at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 17, 33, 49)]
+    sums = digests.agg(F.count("*").alias("linhas"), *[
+        F.coalesce(F.sum(part), F.lit(0)).cast("string").alias(f"soma_{n}") for n, part in enumerate(parts)
+    ])
+    whole = F.concat_ws(":", F.col("linhas").cast("string"), *[f"soma_{n}" for n in range(len(parts))])
+    return sums.select("linhas", F.sha2(whole, 256).alias("sha256"))
+
+
 def compare_fingerprints(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row per file seen at either time; a file that came or went is not equal."""
     left = before.select("arquivo", F.col("sha256").alias("hash_pre"))

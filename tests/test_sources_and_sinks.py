@@ -8,7 +8,7 @@ from recfold import config as c
 from recfold.operators import crosswalk as cw, relational
 from recfold.sinks.files import write_csv, write_json, write_parquet
 from recfold.sources import delimited
-from recfold.sources.fingerprint import compare_fingerprints, fingerprint
+from recfold.sources.fingerprint import compare_fingerprints, content_fingerprint, fingerprint
 from recfold.sources.storage import materialise, scratch_dir
 from recfold.sources.tables import SourceUnavailable, UnreadableSource, empty_table, load_child, read_records
 
@@ -192,3 +192,15 @@ def test_empty_and_unlisted_sources_reach_the_gate(spark, tmp_path):
     assert not load_child(spark, "der_embriaguez", lambda: children["der_embriaguez"])[1]
     with pytest.raises(SourceUnavailable):
         load_child(spark, "der_ocorrencia", lambda: children["der_ocorrencia"])
+
+
+def test_content_fingerprint(spark):
+    def of(rows):
+        return tuple(content_fingerprint(spark.createDataFrame(rows, "a string, b double, c bigint")).first())
+
+    rows = [("x", 1.5, 1), ("", None, 2), (None, float("nan"), None), ("x", 1.5, 1)]
+    assert of(rows) == of(rows[::-1])
+    assert of(rows)[0] == 4
+    assert of([]) == of([]) and of([])[0] == 0
+    others = [rows[:3], rows[:2] + [(None, None, None), rows[3]], [("x", 1.5, 1), (None, None, 2), *rows[2:]]]
+    assert len({of(rows), of([]), *map(of, others)}) == 5
