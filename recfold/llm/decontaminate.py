@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from recfold.llm.rows import HASH, ID, identity, keep_matching, map_batches, slices, stored
+from recfold.llm.rows import HASH, ID, bitmap, identity, in_bitmap, keep_matching, map_batches, slices, stored
 from recfold.llm.text_arrays import Spans, hash_ranges, mixed, runs, texts_of
 
 MASKS = ("1101111", "1100010111", "101000110011")
@@ -28,7 +28,6 @@ SHARE = 0.8
 LEAST = 8
 _OFFSETS = [tuple(n for n, on in enumerate(mask) if on == "1") for mask in MASKS]
 _SPAN = max(map(len, MASKS))
-_BITS = 26
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
@@ -91,28 +90,9 @@ def _item_seeds(items: DataFrame) -> DataFrame:
     return map_batches(items.select("item", "item_tokens"), work, "seed long, item long, item_at int")
 
 
-def _bitmap(item_seeds: DataFrame) -> np.ndarray:
-    """Two bits of ``2 ** 26`` per seed: 8 MB however many seeds there are."""
-    mask = (1 << _BITS) - 1
-    places = F.explode(F.array(
-        F.col("seed").bitwiseAND(mask), F.shiftrightunsigned("seed", _BITS).bitwiseAND(mask)
-    )).alias("place")
-    words = item_seeds.select(places).groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
-    )
-    bitmap = np.zeros(1 << (_BITS - 6), np.int64)
-    for batch in words.toPandas().itertuples(index=False):  # at most 2 ** 20 rows
-        bitmap[batch.word] = batch.bits
-    return bitmap.view(np.uint64)
-
-
-def _regions(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+def _regions(docs: DataFrame, seed_bits: np.ndarray) -> DataFrame:
     """Stretches of texts around possible hits, with their tokens, and the hits in them."""
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-    mask = np.uint64((1 << _BITS) - 1)
-
-    def listed(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    sent = docs.sparkSession.sparkContext.broadcast(seed_bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -120,8 +100,7 @@ def _regions(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
             words, hashes = tokens(part.column("text"))
             found_at, found = [], []
             for places, made in seeds(hashes, words.text):
-                some = np.flatnonzero(listed(bits, made & mask))
-                some = some[listed(bits, (made[some] >> np.uint64(_BITS)) & mask)]
+                some = np.flatnonzero(in_bitmap(bits, made))
                 found_at.append(places[some])
                 found.append(made[some])
             if not found or not sum(map(len, found)):
@@ -202,7 +181,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = stored(_benchmark_items(benchmark), "items")
     item_seeds = stored(_item_seeds(items), "item_seeds")
-    regions = stored(_regions(docs, _bitmap(item_seeds)), "regions")
+    regions = stored(_regions(docs, bitmap(item_seeds.select(F.col("seed").alias("key")))), "regions")
     hits = regions.select(ID, HASH, "begin", F.explode(F.arrays_zip("at", "seed")).alias("hit"))
     hits = hits.select(ID, HASH, "begin", F.col("hit.at").alias("at"), F.col("hit.seed").alias("seed"))
     found = hits.join(item_seeds, "seed").select(

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from recfold.llm.rows import ID, identity, map_batches, slices
+from recfold.llm.rows import ID, bitmap, identity, in_bitmap, map_batches, slices
 from recfold.llm.text_arrays import (
     Spans, Texts, hash_ranges, mixed, runs, space_words, spans, texts_of, whole_windows, windows,
 )
@@ -82,34 +82,52 @@ def counts(texts: Texts, words: Spans, hashes: np.ndarray) -> dict[str, np.ndarr
     }
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """Log ratio of target to raw share for each bucket, counted over every row of ``docs``.
+def _trusted_rows(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Texts of ``rows`` whose id is trusted: a bitmap of ids keeps most others out of the shuffle."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias(ID)).filter(F.col(ID).isNotNull())
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap(ids.select(F.xxhash64(ID).alias("key"))))
 
-    ``trusted`` has the ids (``doc_id``, distinct) of the target texts. Each task sends its
-    counts per bucket; 65,536 sums come back. Without any target text all ratios are zero.
-    """
-    target = trusted.select(F.col("doc_id").cast("long").alias(ID), F.lit(True).alias("target"))
-    rows = docs.select(identity()[0], F.col("text").cast("string").alias("text")).join(target, ID, "left")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(in_bitmap(sent.value, keys)))
+
+    likely = map_batches(
+        rows.select(ID, "text", F.xxhash64(ID).alias("key")), work, f"{ID} long, text string, key long"
+    )
+    # Always a shuffle, of the same share of the texts at every size.
+    return likely.join(ids.hint("merge"), ID, "left_semi")
+
+
+def _bucket_counts(rows: DataFrame) -> np.ndarray:
+    """How often each bucket is met in ``text``: each task sends its counts, 65,536 sums come back."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, BUCKETS), np.int64)
+        sums = np.zeros(BUCKETS, np.int64)
         for part in slices(batches, "text"):
             texts = texts_of(part.column("text"))
-            owner, bucket = grams(texts, *_hashed_words(texts))
-            target = part.column("target").fill_null(False).to_numpy(zero_copy_only=False)
-            sums[0] += np.bincount(bucket, minlength=BUCKETS)
-            sums[1] += np.bincount(bucket[target[owner]], minlength=BUCKETS)
-        some = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(sums[0][some]), pa.array(sums[1][some])], names=["bucket", "raw", "target"]
-        )
-
-    sums = map_batches(rows.select("text", "target"), work, "bucket long, raw long, target long")
-    sums = sums.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[sums["bucket"]], target[sums["bucket"]] = sums["raw"], sums["target"]
+            sums += np.bincount(grams(texts, *_hashed_words(texts))[1], minlength=BUCKETS)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["bucket", "met"])
+
+    met = map_batches(rows.select("text"), work, "bucket long, met long")
+    met = met.groupBy("bucket").agg(F.sum("met").alias("met")).toPandas()
+    sums = np.zeros(BUCKETS)
+    sums[met["bucket"]] = met["met"]
+    return sums
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
+    """Log ratio of target to raw share for each bucket, counted over every row of ``docs``.
+
+    ``trusted`` has the ids (``doc_id``) of the target texts. Without any target text all ratios
+    are zero.
+    """
+    rows = docs.select(identity()[0], F.col("text").cast("string").alias("text"))
+    target = _bucket_counts(_trusted_rows(rows, trusted))
     if not target.sum():
         return np.zeros(BUCKETS)
+    raw = _bucket_counts(rows)
 
     def shares(values: np.ndarray) -> np.ndarray:
         return np.log((values + _SMOOTHING) / (values.sum() + _SMOOTHING * BUCKETS))

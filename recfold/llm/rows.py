@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,6 +18,7 @@ from recfold.sources.storage import materialise, scratch_dir
 ID, HASH = "__recfold_id", "__recfold_hash"
 _SLICE_BYTES = 2 << 20
 NO_ID = -(1 << 63)
+_BITS = 26
 _PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
@@ -72,6 +74,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, f"{scratch_dir(df.sparkSession)}/{name}")
 
 
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Two bits of ``2 ** 26`` for each hash in the column ``key``: 8 MB however many there are."""
+    mask = (1 << _BITS) - 1
+    places = F.explode(F.array(
+        F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", _BITS).bitwiseAND(mask)
+    )).alias("place")
+    words = keys.select(places).groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
+    ).toPandas()  # at most 2 ** 20 rows
+    bits = np.zeros(1 << (_BITS - 6), np.int64)
+    bits[words["word"]] = words["bits"]
+    return bits.view(np.uint64)
+
+
+def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where both bits of a hash are set: everywhere that it is among the keys, and rarely elsewhere."""
+    mask = np.uint64((1 << _BITS) - 1)
+
+    def is_set(at: np.ndarray) -> np.ndarray:
+        return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+    found = is_set(keys & mask)
+    some = np.flatnonzero(found)
+    found[some] = is_set((keys[some] >> np.uint64(_BITS)) & mask)
+    return found
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about 2 MB of ``column``, or one row that is longer.
 
