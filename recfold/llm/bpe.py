@@ -15,10 +15,12 @@ the state reached where it begins has an arc.
 
 from __future__ import annotations
 
+import bisect
 import json
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,36 +39,32 @@ SPLIT = regex.compile(
 _CACHED = 120_000
 _CACHED_CHARS = 64
 _TOGETHER = 24
+_AT_ONCE = 50_000
 _SHIFT = 44
 _SLOTS = 1 << (64 - _SHIFT)
 _compiled: dict[str, Automaton] = {}
 _sent: dict[tuple[str, str, bool], object] = {}
 
 
-class _Chunks(dict):
-    """Encoded pieces of text, made when first asked for.
+class _Recent:
+    """Encoded pieces of text that were used lately.
 
     When half of the room is taken, what is there becomes the old half and what was old goes;
-    pieces asked for again move over, so frequent ones stay and memory is bounded.
+    pieces used again move over, so frequent ones stay and memory is bounded.
     """
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> bytes | None:
-        made = self.old[piece] if piece in self.old else self.make(piece)
-        if len(piece) <= _CACHED_CHARS:
-            self.room(1)
-            self[piece] = made
-        return made
+    def known(self, pieces: set[str]) -> dict[str, bytes]:
+        return {p: half[p] for half in (self.old, self.new) for p in pieces & half.keys()}
 
-    def room(self, more: int) -> None:
-        if len(self) + more > _CACHED // 2:
-            self.old = dict(self)
-            self.clear()
-
-    def unknown(self, pieces: set[str]) -> set[str]:
-        return (pieces - self.keys()) - self.old.keys()
+    def keep(self, used: dict[str, bytes]) -> None:
+        short = dict(islice(((p, ids) for p, ids in used.items() if len(p) <= _CACHED_CHARS), _CACHED // 2))
+        if len(self.new.keys() | short.keys()) > _CACHED // 2:
+            self.old, self.new = self.new, {}
+        self.new.update(short)
 
 
 @dataclass
@@ -95,11 +93,10 @@ class Automaton:
         self.longest = max(map(len, self.ids), default=0)
         self.arrays = None
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.words = _Chunks(self._word)
-        self.spaced = _Chunks(self._spaced)
+        self.words, self.chunks = _Recent(), _Recent()
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("words", "spaced", "cut", "arrays")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "chunks", "cut", "arrays")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -195,47 +192,58 @@ class Automaton:
             results[order[place]] = struct.pack(f"<{len(ids)}I", *reversed(ids))
         return results
 
-    def prepare(self, texts: list[str]) -> None:
-        """Encode what is new in some texts in one go."""
-        chunks = self.spaced.unknown({chunk for text in texts for chunk in text.split(" ")})
-        new = self.words.unknown({word for chunk in chunks for word in SPLIT.findall(" " + chunk)})
-        short = sorted(word for word in new if len(word) <= _TOGETHER)
-        self.words.room(len(short))
-        self.words.update(zip(short, self.encode_words([word.encode() for word in short]), strict=True))
-
-    def _word(self, word: str) -> bytes:
-        ids = self.encode_word(word.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _segments(self, text: str) -> Iterator[bytes]:
-        begin = 0
+    def _encoded(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word; words that are not remembered are encoded together."""
+        found = self.words.known(words)
+        new = sorted(words - found.keys(), key=len)
+        short = bisect.bisect_right(new, _TOGETHER, key=len)
+        for begin in range(0, short, _AT_ONCE):
+            some = new[begin:min(short, begin + _AT_ONCE)]
+            found.update(zip(some, self.encode_words([word.encode() for word in some]), strict=True))
+        for word in new[short:]:
+            ids = self.encode_word(word.encode())
+            found[word] = struct.pack(f"<{len(ids)}I", *ids)
+        self.words.keep(found)
+        return found
+
+    def _pieces(self, text: str) -> list[str]:
+        """The words of a text, and the added tokens in it, in order."""
+        pieces, begin = [], 0
         for found in self.cut.finditer(text) if self.cut else ():
-            yield from map(self.words.__getitem__, SPLIT.findall(text[begin:found.start()]))
-            yield np.array([self.special[found.group()]], "<u4").tobytes()
+            pieces += [*SPLIT.findall(text[begin:found.start()]), found.group()]
             begin = found.end()
-        yield from map(self.words.__getitem__, SPLIT.findall(text[begin:]))
+        return pieces + SPLIT.findall(text[begin:])
 
-    def _spaced(self, chunk: str) -> bytes | None:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            return None
-        if self.cut and self.cut.search(chunk):
-            return b"".join(self._segments(" " + chunk))
-        return b"".join(map(self.words.__getitem__, SPLIT.findall(" " + chunk)))
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian 32-bit numbers.
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian 32-bit numbers.
 
         A single space between two other characters always begins a word, so chunks between
-        such spaces are looked up whole; a text with other white space runs beside a space is
-        split by the pattern throughout.
+        such spaces are looked up whole; a text with other white space runs beside a space, or
+        with an added token, is split by the pattern throughout.
         """
-        first, *others = text.split(" ")
-        if first and not first[-1].isspace():
-            try:
-                return b"".join([*self._segments(first), *map(self.spaced.__getitem__, others)])
-            except TypeError:
-                pass
-        return b"".join(self._segments(text))
+        parts = [[text] if self.cut and self.cut.search(text) else text.split(" ") for text in texts]
+        wanted = set().union(*(islice(part, 1, None) for part in parts))
+        chunks = self.chunks.known(wanted)
+        new = wanted - chunks.keys()
+        loose = {chunk for chunk in new if not chunk or chunk[0].isspace() or chunk[-1].isspace()}
+        heads = []
+        for n, (text, part) in enumerate(zip(texts, parts, strict=True)):
+            head = part[0]
+            if len(part) > 1 and (not head or head[-1].isspace() or not loose.isdisjoint(part)):
+                head, parts[n] = text, [text]
+            heads.append(self._pieces(head))
+        split = {chunk: SPLIT.findall(" " + chunk) for chunk in new - loose}
+        words = self._encoded(set().union(*heads, *split.values()) - self.special.keys())
+        words.update((token, struct.pack("<I", number)) for token, number in self.special.items())
+        chunks.update((chunk, b"".join([words[word] for word in pieces])) for chunk, pieces in split.items())
+        self.chunks.keep(chunks)
+        return [
+            b"".join([*map(words.__getitem__, head), *map(chunks.__getitem__, islice(part, 1, None))])
+            for head, part in zip(heads, parts, strict=True)
+        ]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         return Labels(self.labels).decode(ids)
@@ -352,9 +360,7 @@ def _with_columns(df: DataFrame, path: str, source: str, made: dict[str, str]) -
             if list(types) == ["decoded"]:
                 found["token_ids"] = [ids or b"" for ids in column.to_pylist()]
             else:
-                texts = [text or "" for text in column.to_pylist()]
-                table.prepare(texts)
-                found["token_ids"] = [table.encode(text) for text in texts]
+                found["token_ids"] = table.encode_all([text or "" for text in column.to_pylist()])
             if "n_tokens" in types:
                 found["n_tokens"] = [len(ids) // 4 for ids in found["token_ids"]]
             if "decoded" in types:

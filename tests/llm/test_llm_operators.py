@@ -386,7 +386,7 @@ def test_encoding_equals_the_tokenizers_library(spark, tiny, monkeypatch):
     texts = ["".join(draw.choices(pieces, k=draw.randint(0, 30))) for _ in range(2000)]
     automaton = bpe.compile_file(path)
     monkeypatch.setattr(bpe, "_CACHED", 200)
-    automaton.prepare(texts)
+    assert automaton.encode_all(texts) == [ids(t) for t in texts]
     assert [automaton.encode(t) for t in texts] == [ids(t) for t in texts]
     got = bpe.decode(bpe.encode(tiny, path), path).select("doc_id", "token_ids", "decoded").collect()
     want = [(i, ids(t or ""), t or "") for i, t in collected(tiny)]
