@@ -3,8 +3,9 @@
 A seed is a hash of the tokens at some positions of a window; the positions that its mask leaves
 out may differ. Seeds of the test items and of the training texts meet in a join, and each hit is
 verified on its diagonal: some ``WINDOW`` aligned tokens (all of a shorter item) must agree in a
-share of ``SHARE`` at least. The three masks together hit every aligned window of 20 tokens with
-up to four substitutions, whichever they are (tested over all cases).
+share of ``SHARE`` at least. ``MASKS`` together hit every aligned window of 17 to 20 tokens that
+``SHARE`` admits, wherever its substitutions are (20 tokens: up to four); for items of 8 to 16 tokens
+``SHORT_MASKS`` are added, which hit the rest (tested over all cases of all lengths).
 
 Training seeds are looked up in a bitmap of fixed size before they leave their task, so that
 what is shuffled follows the hits and not the corpus.
@@ -23,11 +24,13 @@ from recfold.llm.rows import HASH, ID, bitmap, identity, in_bitmap, keep_matchin
 from recfold.llm.text_arrays import Spans, hash_ranges, mixed, runs, texts_of
 
 MASKS = ("1101111", "1100010111", "101000110011")
+SHORT_MASKS = ("111111", "11110011", "1110001011")
+SHORT = 17  # items of fewer tokens are looked for by the short masks, too
 WINDOW = 20
 SHARE = 0.8
 LEAST = 8
-_OFFSETS = [tuple(n for n, on in enumerate(mask) if on == "1") for mask in MASKS]
-_SPAN = max(map(len, MASKS))
+_OFFSETS = [tuple(n for n, on in enumerate(mask) if on == "1") for mask in MASKS + SHORT_MASKS]
+_SPAN = max(map(len, MASKS + SHORT_MASKS))
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
@@ -39,8 +42,8 @@ def tokens(column: pa.Array) -> tuple[Spans, np.ndarray]:
     return words, hash_ranges(texts.data, words.starts, words.ends)
 
 
-def seeds(hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each mask: places whose window lies in one text, and the seeds there."""
+def seeds(hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each mask: its number, places whose window lies in one text, and the seeds there."""
     for number, offsets in enumerate(_OFFSETS):
         count = len(hashes) - offsets[-1]
         if count <= 0:
@@ -50,7 +53,7 @@ def seeds(hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, n
             total = (total + hashes[offset: offset + count]) * np.uint64(0x9E3779B97F4A7C15)
             total ^= total >> np.uint64(29)
         places = np.flatnonzero(owner[:count] == owner[offsets[-1]:])
-        yield places, mixed(total[places])
+        yield number, places, mixed(total[places])
 
 
 def _benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -80,7 +83,10 @@ def _item_seeds(items: DataFrame) -> DataFrame:
             sizes = np.array(values.value_lengths().to_pylist(), np.int64)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             first = np.cumsum(sizes) - sizes
-            for places, made in seeds(flat, owner):
+            for number, places, made in seeds(flat, owner):
+                if number >= len(MASKS):
+                    short = sizes[owner[places]] < SHORT
+                    places, made = places[short], made[short]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made.view(np.int64)), pa.array(names[owner[places]]),
                      pa.array((places - first[owner[places]]).astype(np.int32))],
@@ -99,7 +105,7 @@ def _regions(docs: DataFrame, seed_bits: np.ndarray) -> DataFrame:
         for part in slices(batches, "text"):
             words, hashes = tokens(part.column("text"))
             found_at, found = [], []
-            for places, made in seeds(hashes, words.text):
+            for _, places, made in seeds(hashes, words.text):
                 some = np.flatnonzero(in_bitmap(bits, made))
                 found_at.append(places[some])
                 found.append(made[some])

@@ -122,6 +122,32 @@ def test_masks_hit_every_window_with_a_fifth_of_substitutions():
         assert missed == 0 or size < decontaminate.WINDOW
 
 
+@pytest.mark.parametrize("size", range(decontaminate.LEAST, decontaminate.WINDOW + 1))
+def test_masks_hit_every_length(size):
+    offsets = decontaminate._OFFSETS if size < decontaminate.SHORT else decontaminate._OFFSETS[:len(decontaminate.MASKS)]
+    wrong = size - int(np.ceil(decontaminate.SHARE * size))
+    for changed in itertools.combinations(range(size), wrong):
+        same = [n not in changed for n in range(size)]
+        assert any(all(same[at + n] for n in mask) for mask in offsets for at in range(size - mask[-1])), changed
+
+
+def test_short_items_with_substitutions(spark):
+    """Places of substitutions that the three masks for 20 tokens do not hit."""
+    wrong = {8: (1,), 9: (4,), 10: (2, 6), 11: (3, 7), 12: (3, 8), 15: (3, 7, 11), 16: (3, 7, 12)}
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in wrong}
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string")
+    docs, want = [], set()
+    for n, item in items.items():
+        for changed in [*itertools.combinations(range(n), len(wrong[n]))][:: 1 if n < 15 else 7] + [wrong[n]]:
+            copy = ["other" if k in changed else t for k, t in enumerate(item)]
+            want.add((len(docs), n))
+            docs.append((len(docs), " ".join(["before", *copy, "after"])))
+        too_many = {*wrong[n], n - 1}
+        docs.append((len(docs), " ".join("other" if k in too_many else t for k, t in enumerate(item))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r[ID], r.item_id) for r in decontaminate.overlaps(df, bench).collect()} == want
+
+
 def test_decontamination(spark):
     draw = random.Random(5)
     word = lambda: "".join(draw.choices("abcdefgh", k=4))
