@@ -6,6 +6,7 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from recfold.llm.license_texts import DIGESTS
 from recfold.llm.rows import HASH, ID, NO_ID, identity
 
 # Equivalent spellings, replaced in this order as whole words.
@@ -18,7 +19,8 @@ SPELLINGS = (
 
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n(©]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9])|\(c\)|©)[^\n]*"
 
-# Texts of known licences and of notices that name one.
+# One-sentence notices that name a licence, and two texts. Entire texts of more
+# licences are known by their digests alone (``license_texts.py``).
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -68,15 +70,17 @@ def digest(text: Column) -> Column:
     return F.coalesce(F.sha2(canonical(F.coalesce(text, F.lit(""))).cast("binary"), 256), F.lit(""))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """``digest``, ``license`` of a list of texts; the smallest name where two texts are equal.
+def known_digests(spark: SparkSession, known=KNOWN, digests=DIGESTS) -> DataFrame:
+    """``digest``, ``license`` of a list of texts and of digests; the smallest name where two are equal.
 
     A text of which nothing is left is none.
     """
+    made = [(value, name) for name, values in digests.items() for value in values]
+    ready = spark.createDataFrame(made, "digest string, license string")
     rows = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in known))
     listed = spark.range(1).select(F.inline(rows)).select(digest(F.col("text")).alias("digest"), "license")
     nothing = hashlib.sha256(b"").hexdigest()
-    return listed.filter(F.col("digest") != nothing).groupBy("digest").agg(F.min("license").alias("license"))
+    return listed.union(ready).filter(F.col("digest") != nothing).groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import io
 import itertools
+import pathlib
 import random
 import re
 import struct
@@ -360,6 +361,59 @@ def test_license_forms(spark):
                    3: (None, "CC-BY-NC-4.0,MIT", 2), 4: none, 5: none, 6: none}
 
 
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE
+OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+APACHE_HEADER = """Copyright 2021 A. Person
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    https://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS"
+BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+governing permissions and limitations under the License.
+"""
+
+
+def licenses_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.license for r in license_digest.scan(df, license_digest.known_digests(spark)).collect()}
+    return [found[n] for n in range(len(texts))]
+
+
+def test_entire_license_texts(spark):
+    mit = license_digest.KNOWN[6][1]
+    titled = "BSD 2-Clause License\n\nCopyright (c) 2020, B\nAll rights reserved.\n\n" + BSD_2.replace("1.", "*").replace("2. R", "* R")
+    texts = [BSD_2, titled, APACHE_HEADER, "MIT License\n\nCopyright (c) 2020 A\n\n" + mit, BSD_2 + "extra", BSD_2[:-90]]
+    assert licenses_of(spark, texts) == ["BSD-2-Clause", "BSD-2-Clause", "Apache-2.0", "MIT", None, None]
+
+
+@pytest.mark.parametrize("file, name", [
+    ("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"),
+    ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"),
+])
+def test_license_files_of_the_system(spark, file, name):
+    path = pathlib.Path("/usr/share/common-licenses", file)
+    if not path.exists():
+        pytest.skip("no such file here")
+    text = path.read_text()
+    assert licenses_of(spark, [text, " ".join(text.upper().splitlines(True)), text[:-200]]) == [name, name, None]
+
+
 def plain_bpe(word, ranks):
     parts = list(word)
     while len(parts) > 1:
