@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recfold.llm import (
-    bpe, decontaminate, license_digest, ngram_rules, pii, pu_quality, simhash, token_lengths, url_rules, warc_zip,
+    bpe, conversations, decontaminate, license_digest, ngram_rules, pii, pu_quality, simhash, token_lengths, url_rules, warc_zip,
 )
 from recfold.llm.rows import ID, NO_ID
 from recfold.sources.storage import scratch_dir
@@ -118,6 +118,11 @@ def op8_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digest.scan(table(spark, sf_dir, "documents"), license_digest.known_digests(spark))
 
 
+@query
+def op11_conversation_auction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 SQL["op6_warc_zip"] = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
