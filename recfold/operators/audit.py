@@ -8,10 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recfold import config as c
 from recfold.config import Skew
+from recfold.functions import keys
 from recfold.functions.keys import filled
 from recfold.operators.skew import HotKeys, hot_keys, spread_join
 
 EXACT, ASSOCIATED = "numero_ocorrencia", "numero_ocorrencia_associado"
+LOOKED_UP = "numero_ocorrencia_associado_final"
+# What the metrics look at.
+PROFILED = (
+    "fonte_representante", "fontes_associadas", "status_resolucao_possivel", "numero_ocorrencia_final", LOOKED_UP,
+)
 # Child table and the short name its match flags carry.
 AUDITED = {"der_ocorrencia": "oco", "der_veiculos": "vei", "der_envolvidos": "env"}
 
@@ -31,58 +37,67 @@ def distinct_keys(children: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).filter(F.col("chave") != "").distinct()
 
 
-def key_presence(children: dict[str, DataFrame], kind: str) -> DataFrame:
-    """One row per key value with a 0/1 flag per audited table.
+def key_presence(children: dict[str, DataFrame]) -> DataFrame:
+    """One row per associated number: where it occurs as such, and the full numbers of its events per table.
 
-    The flags reduce on the map side, and one lookup replaces a join per table.
+    A number leads to its associated one by losing its suffix, so both kinds of lookup need the
+    rows of one associated number only, and a golden row finds them with one key. A suffix has three
+    digits: the lists stay short whatever the tables hold.
     """
+    number, associated = F.trim(F.col(EXACT)), F.trim(F.col(ASSOCIATED))
     parts = [
         children[table].select(
-            F.trim(F.col(kind)).alias("chave"),
-            *[F.lit(int(other == table)).alias(f"in_{short}") for other, short in AUDITED.items()],
+            F.lit(short).alias("tabela"),
+            F.inline(F.array(
+                F.struct(keys.associated_number(number).alias("associado"), number.alias("numero")),
+                F.struct(associated.alias("associado"), F.lit(None).cast("string").alias("numero")),
+            )),
         )
-        for table in AUDITED
+        for table, short in AUDITED.items()
     ]
-    flags = [F.max(f"in_{short}").alias(f"in_{short}") for short in AUDITED.values()]
-    return reduce(DataFrame.unionByName, parts).filter(F.col("chave") != "").groupBy("chave").agg(*flags)
+    exact = F.col("numero").isNotNull()
+    entries = reduce(DataFrame.unionByName, parts).filter(
+        F.when(exact, F.col("numero") != "").otherwise(F.col("associado") != "")
+    )
+    flags = []
+    for short in AUDITED.values():
+        here = F.col("tabela") == short
+        flags += [
+            F.collect_set(F.when(here, F.col("numero"))).alias(f"in_{short}_exato"),
+            F.max(F.when(here & ~exact, 1).otherwise(0)).alias(f"in_{short}_assoc"),
+        ]
+    return entries.groupBy("associado").agg(*flags)
 
 
 def golden_hot_keys(golden: DataFrame, skew: Skew = Skew()) -> HotKeys:
     """Hot keys of golden rows; run it on a written golden table."""
-    names = ["numero_ocorrencia_final", "numero_ocorrencia_associado_final"]
-    return hot_keys(golden, {name: F.col(name) for name in names}, skew)
+    return hot_keys(golden, {LOOKED_UP: F.col(LOOKED_UP)}, skew)
 
 
 def audit(
     golden: DataFrame, children: dict[str, DataFrame], hot: HotKeys | None = None, skew: Skew = Skew()
 ) -> DataFrame:
-    """``golden`` plus the eligibility flag and six match flags, all 0/1.
+    """``golden`` (or its ``event_profile``) plus the eligibility flag and six match flags, all 0/1.
 
-    Keys are compared trimmed here, while the golden table joined them raw.
+    Keys are compared trimmed here, while the golden table joined them raw. Golden rows are sent
+    once, to where all that is known of their associated number is; those without a number are
+    placed by their id.
     """
-    columns = golden.columns
-    result = golden.withColumn(
-        "is_elegivel_der",
-        F.when(
-            F.col("fonte_representante").isin(c.OFFICIAL_SOURCES) & F.col("numero_ocorrencia_final").isNotNull(), 1
-        ).otherwise(0),
-    )
-    lookups = [
-        (EXACT, "numero_ocorrencia_final", "exato"),
-        (ASSOCIATED, "numero_ocorrencia_associado_final", "assoc"),
-    ]
-    for kind, column, suffix in lookups:
-        result = spread_join(
-            result, key_presence(children, kind), column, "chave", [F.col(name) for name in columns], "left",
-            (hot or {}).get(column), skew,
-        )
-        result = result.withColumns({
-            f"match_{short}_{suffix}": F.coalesce(F.col(f"in_{short}"), F.lit(0)) for short in AUDITED.values()
-        }).drop(*[f"in_{short}" for short in AUDITED.values()])
-    return result.select(
-        *columns, "is_elegivel_der",
-        *[f"match_{short}_{suffix}" for short in AUDITED.values() for suffix in ("exato", "assoc")],
+    number = F.col("numero_ocorrencia_final")
+    row = ["id_acidente_final"] if "id_acidente_final" in golden.columns else PROFILED
+    found = spread_join(
+        golden, key_presence(children), LOOKED_UP, "associado", [F.col(name) for name in row], "left",
+        (hot or {}).get(LOOKED_UP), skew,
     )
+    eligible = F.col("fonte_representante").isin(c.OFFICIAL_SOURCES) & number.isNotNull()
+    flags = []
+    for short in AUDITED.values():
+        matched = F.coalesce(F.array_contains(f"in_{short}_exato", number), F.lit(False))
+        flags += [
+            matched.cast("int").alias(f"match_{short}_exato"),
+            F.coalesce(F.col(f"in_{short}_assoc"), F.lit(0)).alias(f"match_{short}_assoc"),
+        ]
+    return found.select(*golden.columns, F.when(eligible, 1).otherwise(0).alias("is_elegivel_der"), *flags)
 
 
 def event_profile(golden: DataFrame) -> DataFrame:
@@ -91,15 +106,17 @@ def event_profile(golden: DataFrame) -> DataFrame:
     Leaves a handful of rows per key, and one for all rows without a key, so that the lookups
     of ``audit`` meet no hot key.
     """
-    return golden.groupBy(
-        "fonte_representante",
-        F.when(F.col("fontes_associadas") == c.WAZE, c.WAZE).alias("fontes_associadas"),
-        "status_resolucao_possivel",
-        "numero_ocorrencia_final",
-        "numero_ocorrencia_associado_final",
+    alone = F.when(F.col("fontes_associadas") == c.WAZE, c.WAZE).alias("fontes_associadas")
+    return golden.select(*(alone if name == "fontes_associadas" else F.col(name) for name in PROFILED)).groupBy(
+        *PROFILED
     ).agg(F.count("*").alias("eventos"))
 
 
+def profile_metrics(golden: DataFrame, children: dict[str, DataFrame]) -> DataFrame:
+    """``metrics`` of all golden rows, looked up once per combination of what counts."""
+    return metrics(audit(event_profile(golden), children), "eventos")
+
+
 def metrics(audited: DataFrame, weight: str | None = None) -> DataFrame:
     """Formal match metrics in one pass; ``weight`` is the events a row stands for."""
     amount = F.col(weight) if weight else F.lit(1)
@@ -209,7 +226,7 @@ def facts(
         golden_counters(golden),
         children["der_ocorrencia"].agg(F.count("*").alias("n_ocorrencias")),
         aggregates.agg(F.count("*").alias("n_agregados")),
-        metrics(audit(event_profile(golden), children), "eventos"),
+        profile_metrics(golden, children),
     ]))
 
 

@@ -242,15 +242,13 @@ def audit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def match_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     decision = _decision(spark, sf_dir)
-    profile = audit.event_profile(decision.golden)
-    return audit.metrics(audit.audit(profile, decision.children), "eventos").drop("n_universo_elegivel_der")
+    return audit.profile_metrics(decision.golden, decision.children).drop("n_universo_elegivel_der")
 
 
 @query
 def match_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     decision = _decision(spark, sf_dir)
-    profile = audit.event_profile(decision.golden)
-    rated = audit.rates(audit.metrics(audit.audit(profile, decision.children), "eventos"))
+    rated = audit.rates(audit.profile_metrics(decision.golden, decision.children))
     return rated.select(
         "n_universo_elegivel_der", *[name for name in rated.columns if name.startswith(("taxa_", "nota_"))]
     )

@@ -119,7 +119,7 @@ def test_hot_keys_change_no_result(spark):
     assert rows_of(spread.full_records) == rows_of(plain.full_records)
     golden = plain.golden.cache()
     hot = audit.golden_hot_keys(golden, TINY)
-    assert hot["numero_ocorrencia_final"]
+    assert hot[audit.LOOKED_UP]
     assert rows_of(audit.audit(golden, children, hot, TINY)) == rows_of(audit.audit(golden, children))
 
 
