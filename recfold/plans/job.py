@@ -29,7 +29,7 @@ class JobConfig:
     protected: list[str] = field(default_factory=list)
     sep: str = ";"
     encoding: str = "ISO-8859-1"
-    multiline: bool | None = None
+    multiline: bool = True
     expectations: Expectations = Expectations()
     skew: Skew = Skew()
 

@@ -2,18 +2,22 @@
 
 Lines with too many fields are dropped, short ones padded with NULL, and every column is text.
 
-Spark's CSV reader in permissive mode with a schema as wide as the header leaves the corrupt
-record column NULL exactly when a line has the header's number of fields. Only the other lines
+Files are always read in parts. Where quoted fields contain line breaks, what a line means depends
+on whether it begins inside such a field. Each part is worked through under both assumptions, which
+leaves two things to know about a part: how it ends under either, so that the assumption that holds
+follows from the parts before it, and where its records begin. Only lines of records that have
+several are then brought together.
+
+Spark's CSV parser in permissive mode with a schema as wide as the header leaves the corrupt
+record column NULL exactly when a record has the header's number of fields. Only the others
 have their separators counted, outside quoted fields.
 """
 
 from __future__ import annotations
 
 import csv
-import re
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from recfold import config as c
@@ -41,25 +45,11 @@ def clean_header(names: list[str | None]) -> list[str]:
     return cleaned
 
 
-def read_header(spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "ISO-8859-1") -> list[str]:
-    first = _csv(spark, sep, encoding).option("header", False).csv(path).first()
-    return clean_header(list(first) if first else [])
-
-
-def _csv(spark: SparkSession, sep: str, encoding: str):
-    return spark.read.option("sep", sep).option("encoding", encoding).option("quote", '"').option("escape", '"')
-
-
 def _file_path() -> Column:
     """Path of the row's file; the metadata column holds it percent-encoded."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias(_FILE)
 
 
-def _literal_path(path: str) -> str:
-    """``path`` with the characters escaped that a reader would take as a pattern."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
 def _quoted_field(sep: str) -> str:
     # Possessive, so that the matcher loops over a long field instead of recursing into it.
     return rf'(^|\Q{sep}\E)"(?:[^"]++|"")*+"'
@@ -71,15 +61,38 @@ def field_count(line: Column, sep: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
 
+def _transitions(line: Column, sep: str) -> tuple[Column, Column]:
+    """Whether a line ends inside a quoted field: if it begins outside of one, and if it begins inside."""
+    start = rf'(^|\Q{sep}\E)"'
+    closing = r'^(?:[^"]++|"")*+"'
+
+    def left_open(text: Column) -> Column:
+        return F.regexp_replace(text, _quoted_field(sep), "$1").rlike(start)
+
+    # What follows the closing quote does not begin a field.
+    rest = F.concat(F.lit("x"), F.regexp_replace(line, closing, ""))
+    return left_open(line), F.when(line.rlike(closing), left_open(rest)).otherwise(F.lit(True))
+
+
+def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    """Physical lines with their file, the start of their part of it, and their order within the part."""
+    text = spark.read.text(path)  # bytes as they are, whatever the encoding
+    line = F.col("value")
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        line = F.decode(line.cast("binary"), encoding)
+    return text.select(
+        _file_path(), F.col("_metadata.file_block_start").alias("parte"),
+        F.monotonically_increasing_id().alias("posicao"), line.alias("linha"),
+    )
+
+
 def line_profile(spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
     """Per file: physical lines, first line, and whether any line leaves a quoted field open."""
-    lines = spark.read.option("encoding", encoding).text(path)
-    bare = F.regexp_replace("value", _quoted_field(sep), "$1")
-    at_start = (F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")
-    placed = lines.select(
-        _file_path(), bare.rlike(rf'(^|\Q{sep}\E)"').alias("aberta"),
-        F.when(at_start, F.col("value")).alias("linha"),
-        F.when(at_start, F.monotonically_increasing_id()).alias("posicao"),
+    at_start = (F.col("parte") == 0) & (F.trim("linha") != "")
+    placed = _lines(spark, path, encoding).select(
+        _FILE, _transitions(F.col("linha"), sep)[0].alias("aberta"),
+        F.when(at_start, F.col("linha")).alias("linha"),
+        F.when(at_start, F.col("posicao")).alias("posicao"),
     )
     return placed.groupBy(_FILE).agg(
         F.count("*").alias("linhas"),
@@ -88,48 +101,115 @@ def line_profile(spark: SparkSession, path: str | list[str], sep: str = ";", enc
     )
 
 
-def open_at_end(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> DataFrame:
-    """Those of the files with line breaks in fields that end inside a quoted field."""
-    whole = spark.read.option("encoding", encoding).text(paths, wholetext=True)
-    start = rf'(^|\n|\r|\Q{sep}\E)"'
-    bare = F.regexp_replace("value", rf'{start}(?:[^"]++|"")*+"', "$1")
-    return whole.filter(bare.rlike(start)).select(_file_path())
+def _beginnings(df: DataFrame, within: list[str], order: str) -> DataFrame:
+    """Whether each row begins inside a quoted field, if the first row of its group begins outside and if inside.
 
+    ``abre`` and ``fica`` say how a row ends if it begins outside and if it begins inside. A row
+    that ends the same way under both settles the state, whatever came before; a row that ends the
+    other way than it began turns it. So the state is that of the last row that settled it, turned
+    by the rows since: a sum of turns and a last value.
+    """
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum(F.when(F.col("abre") & ~F.col("fica"), 1).otherwise(0)).over(before), F.lit(0)) % 2 == 1
+    settled = F.when(F.col("abre") == F.col("fica"), F.col("abre") != F.col("vira"))
+    known = df.withColumn("vira", turned)
+    known = known.withColumn("fixo", F.last(settled, ignorenulls=True).over(before))
+    return known.withColumns({
+        "de_fora": F.coalesce("fixo", F.lit(False)) != F.col("vira"),
+        "de_dentro": F.coalesce("fixo", F.lit(True)) != F.col("vira"),
+    }).drop("vira", "fixo")
 
-def parse(
-    spark: SparkSession,
-    path: str | list[str],
-    header: list[str],
-    sep: str = ";",
-    encoding: str = "ISO-8859-1",
-    multiline: bool = True,
-) -> DataFrame:
-    """Every non-blank line, with its file and whether it is kept.
 
-    ``multiline`` reads line breaks inside quoted fields, at the price of one task per file.
+def records_of(lines: DataFrame, sep: str, scratch: str) -> tuple[DataFrame, DataFrame]:
+    """Records with file and place, a line break within joining their lines; and files that end inside a field.
+
+    Windows run over one part of a file, or over the parts of one file, never over its lines.
     """
-    width = len(header)
-    positions = [f"_{i}" for i in range(width)]
-    fields = [StructField(name, StringType()) for name in [*positions, _CORRUPT]]
-    raw = (
-        _csv(spark, sep, encoding)
-        .schema(StructType(fields))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("multiLine", multiline)
-        .csv(path)
+    abre, fica = _transitions(F.col("linha"), sep)
+    part = [_FILE, "parte"]
+    upto = Window.partitionBy(*part).orderBy("posicao").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = _beginnings(lines.withColumns({"abre": abre, "fica": fica}), part, "posicao")
+    both = materialise(both.withColumns({
+        f"numero_{name}": F.sum(F.when(F.col(name), 0).otherwise(1)).over(upto) for name in ("de_fora", "de_dentro")
+    }), f"{scratch}/lines")
+
+    def ends(begins: str) -> Column:
+        return F.when(F.col(begins), F.col("fica")).otherwise(F.col("abre"))
+
+    parts = both.groupBy(*part).agg(*[
+        F.max_by(value, "posicao").alias(name) for name, value in (
+            ("abre", ends("de_fora")), ("fica", ends("de_dentro")),
+            ("numero_de_fora", F.col("numero_de_fora")), ("numero_de_dentro", F.col("numero_de_dentro")),
+        )
+    ])
+    earlier = Window.partitionBy(_FILE).orderBy("parte").rowsBetween(Window.unboundedPreceding, -1)
+    parts = _beginnings(parts, [_FILE], "parte").withColumn("dentro", F.col("de_fora"))
+    number = F.when(F.col("dentro"), F.col("numero_de_dentro")).otherwise(F.col("numero_de_fora"))
+    last = F.when(number > 0, F.struct(F.col("parte").alias("parte"), number.alias("numero")))
+    parts = materialise(parts.select(
+        *part, "dentro", F.last(last, ignorenulls=True).over(earlier).alias("anterior"), ends("dentro").alias("aberta"),
+    ), f"{scratch}/parts")
+    damaged = parts.groupBy(_FILE).agg(F.max_by("aberta", "parte").alias("aberta")).filter("aberta").select(_FILE)
+
+    placed = both.join(parts.drop("aberta"), part)
+    number = F.when(F.col("dentro"), F.col("numero_de_dentro")).otherwise(F.col("numero_de_fora"))
+    inside = F.when(F.col("dentro"), F.col("de_dentro")).otherwise(F.col("de_fora"))
+    placed = placed.withColumns({"numero": number, "continua": inside}).select(
+        *part, "posicao", "linha",
+        (~F.col("continua") & ~F.col("abre")).alias("inteira"),
+        F.when(number > 0, F.struct(F.col("parte"), number.alias("numero"))).otherwise(F.col("anterior")).alias("chave"),
+    )
+    whole = placed.filter("inteira").select(*part, "posicao", F.col("linha").alias("registro"))
+    pieces = F.array_sort(F.collect_list(F.struct("parte", "posicao", "linha")))
+    joined = placed.filter(~F.col("inteira")).groupBy(_FILE, "chave").agg(pieces.alias("pedacos")).select(
+        _FILE, F.col("pedacos")[0]["parte"].alias("parte"), F.col("pedacos")[0]["posicao"].alias("posicao"),
+        F.array_join(F.col("pedacos.linha"), "\n").alias("registro"),
+    )
+    return whole.unionByName(joined), damaged
+
+
+def _fields(width: int) -> StructType:
+    return StructType([StructField(name, StringType()) for name in [*(f"_{i}" for i in range(width)), _CORRUPT]])
+
+
+_PARSER = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "quote": '"', "escape": '"'}
+
+
+def parse(spark: SparkSession, path: str | list[str], width: int, sep: str, encoding: str) -> DataFrame:
+    """The lines behind the header of each file, by position, each line a record."""
+    reader = spark.read.options(sep=sep, encoding=encoding, header=True, **_PARSER).schema(_fields(width))
+    return reader.csv(path).select(*_fields(width).names, _file_path())
+
+
+def parse_records(records: DataFrame, firsts: DataFrame, width: int, sep: str) -> DataFrame:
+    """The records behind the header of each file, by position."""
+    values = F.from_csv("registro", _fields(width).simpleString()[len("struct<"):-1].replace(":", " "),
+                        {"sep": sep, **_PARSER})
+    behind = records.join(firsts.select(_FILE, "cabecalho"), _FILE).filter(
+        (F.struct("parte", "posicao") > F.col("cabecalho")) & (F.trim("registro") != "")
     )
+    return behind.select(values.alias("valores"), _FILE).select("valores.*", _FILE)
+
+
+def _landed(parsed: DataFrame, firsts: DataFrame, headers: dict[str, list[str]], sep: str) -> DataFrame:
+    """Every non-blank record under the names of its file's header, with its file and whether it is kept."""
+    names = next(iter(headers.values()))
     corrupt = F.col(_CORRUPT)
-    blank = F.trim(corrupt if width > 1 else F.col("_0")) == ""
-    values = [
-        F.when(~F.col(position).isin(c.NA_TOKENS), F.col(position)).alias(name)
-        for position, name in zip(positions, header)
-    ]
-    return raw.filter(~F.coalesce(blank, F.lit(False))).select(
-        *values,
-        _file_path(),
-        (corrupt.isNull() | (field_count(corrupt, sep) <= width)).alias(_KEPT),
+    blank = F.trim(corrupt if len(names) > 1 else F.col("_0")) == ""
+    rows = parsed.filter(~F.coalesce(blank, F.lit(False)))
+    if len(headers) > 1:
+        rows = rows.join(firsts.select(_FILE, "primeira_linha"), _FILE)
+
+    def value(name: str) -> Column:
+        lines = list(headers)
+        found = F.col(f"_{names.index(name)}")
+        for line in lines[1:]:
+            found = F.when(F.col("primeira_linha") == line, F.col(f"_{headers[line].index(name)}")).otherwise(found)
+        return found
+
+    return rows.select(
+        *(F.when(~value(name).isin(c.NA_TOKENS), value(name)).alias(name) for name in names),
+        _FILE, (corrupt.isNull() | (field_count(corrupt, sep) <= len(names))).alias(_KEPT),
     )
 
 
@@ -140,61 +220,54 @@ def read_tolerant_csv(
     header: list[str] | None = None,
     sep: str = ";",
     encoding: str = "ISO-8859-1",
-    multiline: bool | None = None,
+    multiline: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Kept rows and one report row per file.
 
     The text is parsed once into a Parquet table below ``scratch``; rows and report both come
-    from there. With ``multiline=None`` only files with a line break inside a quoted field are
-    read whole, all others are split. Files are read under their own headers and aligned by name.
+    from there. Files are read in parts, also where quoted fields contain line breaks; with
+    ``multiline`` false every line is a record. Records stand under their own file's header and
+    are aligned by name.
 
     ``UnreadableSource`` is raised, and nothing returned, if no file has a line, if the files'
     column sets differ, or if a file ends inside a quoted field: what a parser makes of such a
     file lacks rows.
     """
     profile = materialise(line_profile(spark, path, sep, encoding), f"{scratch}/profile")
-    parts = []
-    for names, paths in _headers(profile, path, header, sep):
-        if multiline is None:
-            split, whole = _by_line_breaks(profile, paths, path)
-        else:
-            split, whole = ([], paths) if multiline else (paths, [])
-        if whole and not (damaged := open_at_end(spark, whole, sep, encoding)).isEmpty():
+    if multiline and not profile.filter("quebra_em_campo").isEmpty():
+        records, damaged = records_of(_lines(spark, path, encoding), sep, scratch)
+        if not damaged.isEmpty():
             raise UnreadableSource(f"{damaged.first()[0]} ends inside a quoted field", profile)
-        parts += [
-            parse(spark, some, names, sep, encoding, multiline=way) for some, way in ((split, False), (whole, True)) if some
-        ]
-    landed = materialise(reduce(DataFrame.unionByName, parts), f"{scratch}/rows")
+        records = materialise(records, f"{scratch}/records")
+        place = F.struct("parte", "posicao")
+        firsts = records.filter(F.trim("registro") != "").groupBy(_FILE).agg(
+            F.min(place).alias("cabecalho"), F.min_by("registro", place).alias("primeira_linha")
+        )
+        headers = _headers(firsts, profile, path, header, sep)
+        parsed = parse_records(records, firsts, len(next(iter(headers.values()))), sep)
+    else:
+        firsts = profile
+        headers = _headers(firsts, profile, path, header, sep)
+        parsed = parse(spark, path, len(next(iter(headers.values()))), sep, encoding)
+    landed = materialise(_landed(parsed, firsts, headers, sep), f"{scratch}/rows")
     return landed.filter(_KEPT).drop(_FILE, _KEPT), reject_report(landed, profile)
 
 
-def _files(profile: DataFrame, condition: Column) -> list[str]:
-    return [_literal_path(row[_FILE]) for row in profile.filter(condition).select(_FILE).collect()]
-
-
 def _headers(
-    profile: DataFrame, path: str, header: list[str] | None, sep: str
-) -> list[tuple[list[str], list[str]]]:
-    """Column names, and the files that have them; files are listed only where headers differ."""
-    firsts = [row[0] for row in profile.select("primeira_linha").distinct().collect()]
-    if not any(firsts):
+    firsts: DataFrame, profile: DataFrame, path: str, header: list[str] | None, sep: str
+) -> dict[str, list[str]]:
+    """Column names by first line; files that differ in the order of columns alone give several."""
+    lines = sorted(row[0] for row in firsts.select("primeira_linha").distinct().collect() if row[0])
+    if not lines:
         raise UnreadableSource(f"{path} has no header", profile)
     if header:
-        return [(header, [path])]
-    names = {line: clean_header([n or None for n in next(csv.reader([line], delimiter=sep))]) for line in firsts if line}
+        return {"": header}
+    names = {line: clean_header([n or None for n in next(csv.reader([line], delimiter=sep))]) for line in lines}
     if len({tuple(sorted(columns)) for columns in names.values()}) > 1:
         raise UnreadableSource(f"files of {path} have different columns", profile)
     if len({tuple(columns) for columns in names.values()}) == 1:
-        return [(next(iter(names.values())), [path])]
-    return [(columns, _files(profile, F.col("primeira_linha") == line)) for line, columns in names.items()]
-
-
-def _by_line_breaks(profile: DataFrame, paths: list[str], path: str) -> tuple[list[str], list[str]]:
-    """Files that can be split by line, and files with line breaks inside fields."""
-    whole = _files(profile, F.col("quebra_em_campo"))
-    if paths != [path]:
-        return [p for p in paths if p not in set(whole)], [p for p in whole if p in set(paths)]
-    return (_files(profile, ~F.col("quebra_em_campo")), whole) if whole else (paths, [])
+        return dict([next(iter(names.items()))])
+    return names
 
 
 def failed_report(profile: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
+import csv
 import hashlib
+import inspect
+import io
+import random
 
 import fixtures
 import pytest
@@ -48,7 +52,7 @@ def test_line_split_reading_equals_whole_file_reading(spark, tmp_path):
     assert ('x;"y', "2", None) in set(map(tuple, by_line.collect()))
 
 
-def test_only_files_with_broken_fields_are_read_whole(spark, tmp_path):
+def test_files_with_and_without_broken_fields(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "plain+[2].csv").write_bytes(b"numero;b;c\n5;6;7\n5;6;7;8\n")
     rows, report = read(spark, tmp_path, FIXTURE)
@@ -57,6 +61,38 @@ def test_only_files_with_broken_fields_are_read_whole(spark, tmp_path):
     assert (total.arquivo, total.linhas_esperadas, total.linhas_sucesso, total.linhas_excedentes) == ("tabela", 13, 7, 4)
 
 
+def broken_file(seed):
+    """Quoted fields with line breaks, separators, quotes and blank lines in them, and quotes that open nothing."""
+    draw = random.Random(seed)
+    fields = ["", "x", 'a"b', "é", '"l1\nl2"', '"\n\n"', '"p;q"', '"say ""so"""', '""""', '"\n;\n""\n;"', '"' + "z" * 90 + '\n"']
+    lines = [";".join(draw.choices(fields, k=draw.choice((1, 2, 3, 3, 3, 4)))) for _ in range(150)]
+    return "\n".join(["a;b;c", *lines]) + "\n"
+
+
+@pytest.mark.parametrize("seed, size", [(1, 40), (2, 97), (3, 1000), (4, 1 << 20)])
+def test_line_breaks_in_fields_whatever_the_parts(spark, tmp_path, seed, size):
+    """Parts of a few bytes, so that records and fields go over several of them."""
+    text = broken_file(seed)
+    records = list(csv.reader(io.StringIO(text, newline=""), delimiter=";"))[1:]
+    kept = [(r + [""] * 3)[:3] for r in records if 0 < len(r) <= 3]
+    wanted = sorted(([None if v in c.NA_TOKENS else v for v in r] for r in kept), key=repr)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        rows, report = read(spark, tmp_path, text.encode("latin-1"))
+        assert size > 1000 or spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(map(list, rows.collect()), key=repr) == wanted
+    assert report.first().linhas_excedentes == sum(len(r) > 3 for r in records)
+
+
+def test_no_file_is_read_as_one_value():
+    source = inspect.getsource(delimited)
+    assert "wholetext" not in source and "multiLine" not in source and "toLocalIterator" not in source
+
+
 def test_accents_crlf_and_blank_lines(spark, tmp_path):
     rows, report = read(spark, tmp_path, "numero;b\r\n1;LESÕES\r\n   \r\n2; x \r\n".encode("latin-1"))
     assert sorted(map(tuple, rows.collect())) == [("1", "LESÕES"), ("2", " x ")]
