@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recfold.llm import (
-    bpe, conversations, decontaminate, license_digest, ngram_rules, pii, pu_quality, simhash, spelling, token_lengths,
-    url_rules, warc_zip,
+    bpe, conversations, decontaminate, langid, license_digest, ngram_rules, pii, pu_quality, simhash, spelling,
+    token_lengths, url_rules, warc_zip,
 )
 from recfold.llm.rows import ID, NO_ID
 from recfold.sources.storage import scratch_dir
@@ -129,6 +129,11 @@ def op12_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(spelling.words(table(spark, sf_dir, "documents")))
 
 
+@query
+def op13_string_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 SQL["op6_warc_zip"] = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
