@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recfold.llm.rows import ID, bitmap, identity, in_bitmap, map_batches, slices
 from recfold.llm.text_arrays import (
-    Spans, Texts, hash_ranges, mixed, runs, space_words, spans, texts_of, whole_windows, windows,
+    Spans, Texts, codes, hash_values, mixed, runs, space_words, spans, texts_of, whole_windows, windows,
 )
 
 BUCKETS = 1 << 16
@@ -34,9 +34,18 @@ def grams(texts: Texts, words: Spans, hashes: np.ndarray) -> tuple[np.ndarray, n
     return owner, (values >> np.uint64(48)).astype(np.int64)
 
 
-def _hashed_words(texts: Texts) -> tuple[Spans, np.ndarray]:
+def _coded_words(texts: Texts) -> tuple[Spans, np.ndarray, np.ndarray]:
+    """Words, for each a number that equal words alone share, and a hash."""
     words = space_words(texts)
-    return words, hash_ranges(texts.data, words.starts, words.ends)
+    numbers, distinct = codes(texts.data, words.starts, words.ends)
+    return words, numbers, hash_values(distinct)[numbers]
+
+
+def _triples(numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For windows of three numbers at these places, a number that equal windows alone share."""
+    size = int(numbers.max(initial=0)) + 1
+    pairs = np.unique(numbers[places] * size + numbers[places + 1], return_inverse=True)[1]
+    return pairs * size + numbers[places + 2]
 
 
 def _repeats(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +59,7 @@ def _repeats(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     return again, earlier
 
 
-def counts(texts: Texts, words: Spans, hashes: np.ndarray) -> dict[str, np.ndarray]:
+def counts(texts: Texts, words: Spans, numbers: np.ndarray) -> dict[str, np.ndarray]:
     number = len(texts)
     data, bounds = texts.data, texts.bounds
 
@@ -66,11 +75,11 @@ def counts(texts: Texts, words: Spans, hashes: np.ndarray) -> dict[str, np.ndarr
     first_word = np.searchsorted(words.starts, lines.starts)
     filled = np.append(words.starts, len(data) + 1)[first_word] < lines.ends
     lines = spans(texts, lines.starts[filled], lines.ends[filled])
-    _, earlier = _repeats(lines.text, hash_ranges(data, lines.starts, lines.ends))
+    _, earlier = _repeats(lines.text, codes(data, lines.starts, lines.ends)[0])
     covered = np.zeros(len(words.starts), bool)
     places = whole_windows(words, 3)
     if len(places):
-        again, _ = _repeats(words.text[places], windows(hashes, (0, 1, 2))[places])
+        again, _ = _repeats(words.text[places], _triples(numbers, places))
         for offset in range(3):
             covered[places[again] + offset] = True
     return {
@@ -106,7 +115,8 @@ def _bucket_counts(rows: DataFrame) -> np.ndarray:
         sums = np.zeros(BUCKETS, np.int64)
         for part in slices(batches, "text"):
             texts = texts_of(part.column("text"))
-            sums += np.bincount(grams(texts, *_hashed_words(texts))[1], minlength=BUCKETS)
+            words, _, hashes = _coded_words(texts)
+            sums += np.bincount(grams(texts, words, hashes)[1], minlength=BUCKETS)
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["bucket", "met"])
 
@@ -148,8 +158,8 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             texts = texts_of(part.column("text"))
-            words, hashes = _hashed_words(texts)
-            found = counts(texts, words, hashes)
+            words, numbers, hashes = _coded_words(texts)
+            found = counts(texts, words, numbers)
             owner, bucket = grams(texts, words, hashes)
             total = np.bincount(owner, weights=ratios.value[bucket], minlength=len(texts))
             ratio = total / np.maximum(np.bincount(owner, minlength=len(texts)), 1)
