@@ -5,7 +5,9 @@ out may differ. Seeds of the test items and of the training texts meet in a join
 verified on its diagonal: some ``WINDOW`` aligned tokens (all of a shorter item) must agree in a
 share of ``SHARE`` at least. ``MASKS`` together hit every aligned window of 17 to 20 tokens that
 ``SHARE`` admits, wherever its substitutions are (20 tokens: up to four); for items of 8 to 16 tokens
-``SHORT_MASKS`` are added, which hit the rest (tested over all cases of all lengths).
+``SHORT_MASKS`` are added, which hit the rest (tested over all cases of all lengths). Items of fewer
+than ``LEAST`` tokens are too short for substitutions: a mask of their own length finds them, and
+all tokens must agree.
 
 Training seeds are looked up in a bitmap of fixed size before they leave their task, so that
 what is shuffled follows the hits and not the corpus.
@@ -20,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from recfold.llm.rows import HASH, ID, bitmap, identity, in_bitmap, keep_matching, map_batches, slices, stored
+from recfold.llm.rows import HASH, ID, bitmap, identity, in_bitmap, map_batches, slices, stored, without
 from recfold.llm.text_arrays import Spans, hash_ranges, mixed, runs, texts_of
 
 MASKS = ("1101111", "1100010111", "101000110011")
@@ -30,6 +32,7 @@ WINDOW = 20
 SHARE = 0.8
 LEAST = 8
 _OFFSETS = [tuple(n for n, on in enumerate(mask) if on == "1") for mask in MASKS + SHORT_MASKS]
+_WHOLE = [tuple(range(size)) for size in range(1, LEAST)]  # numbered behind the masks, by length
 _SPAN = max(map(len, MASKS + SHORT_MASKS))
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -42,9 +45,15 @@ def tokens(column: pa.Array) -> tuple[Spans, np.ndarray]:
     return words, hash_ranges(texts.data, words.starts, words.ends)
 
 
-def seeds(hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each mask: its number, places whose window lies in one text, and the seeds there."""
-    for number, offsets in enumerate(_OFFSETS):
+def seeds(
+    hashes: np.ndarray, owner: np.ndarray, lengths: tuple[int, ...]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each mask: its number, places whose window lies in one text, and the seeds there.
+
+    ``lengths`` are those below ``LEAST`` whose masks are wanted as well.
+    """
+    wanted = [*enumerate(_OFFSETS), *((len(_OFFSETS) + size, _WHOLE[size - 1]) for size in lengths)]
+    for number, offsets in wanted:
         count = len(hashes) - offsets[-1]
         if count <= 0:
             continue
@@ -57,7 +66,7 @@ def seeds(hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, np.ndarr
 
 
 def _benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item`` (smallest id of equal token sequences), ``n_items``, ``item_tokens``; too short ones left out."""
+    """``item`` (smallest id of equal token sequences), ``n_items``, ``item_tokens``; those without a token left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -68,7 +77,7 @@ def _benchmark_items(benchmark: DataFrame) -> DataFrame:
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     items = map_batches(rows, work, "item_id long, item_tokens array<long>")
     return (
-        items.filter(F.size("item_tokens") >= LEAST)
+        items.filter(F.size("item_tokens") > 0)
         .groupBy("item_tokens")
         .agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items"))
         .select(F.xxhash64("item_tokens").alias("item"), "item_id", "n_items", "item_tokens")
@@ -83,10 +92,15 @@ def _item_seeds(items: DataFrame) -> DataFrame:
             sizes = np.array(values.value_lengths().to_pylist(), np.int64)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             first = np.cumsum(sizes) - sizes
-            for number, places, made in seeds(flat, owner):
-                if number >= len(MASKS):
-                    short = sizes[owner[places]] < SHORT
-                    places, made = places[short], made[short]
+            for number, places, made in seeds(flat, owner, tuple(range(1, LEAST))):
+                size = sizes[owner[places]]
+                if number < len(MASKS):
+                    some = size >= LEAST
+                elif number < len(_OFFSETS):
+                    some = (size >= LEAST) & (size < SHORT)
+                else:
+                    some = size == number - len(_OFFSETS)
+                places, made = places[some], made[some]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made.view(np.int64)), pa.array(names[owner[places]]),
                      pa.array((places - first[owner[places]]).astype(np.int32))],
@@ -96,7 +110,7 @@ def _item_seeds(items: DataFrame) -> DataFrame:
     return map_batches(items.select("item", "item_tokens"), work, "seed long, item long, item_at int")
 
 
-def _regions(docs: DataFrame, seed_bits: np.ndarray) -> DataFrame:
+def _regions(docs: DataFrame, seed_bits: np.ndarray, lengths: tuple[int, ...]) -> DataFrame:
     """Stretches of texts around possible hits, with their tokens, and the hits in them."""
     sent = docs.sparkSession.sparkContext.broadcast(seed_bits)
 
@@ -105,8 +119,11 @@ def _regions(docs: DataFrame, seed_bits: np.ndarray) -> DataFrame:
         for part in slices(batches, "text"):
             words, hashes = tokens(part.column("text"))
             found_at, found = [], []
-            for _, places, made in seeds(hashes, words.text):
+            for number, places, made in seeds(hashes, words.text, lengths):
                 some = np.flatnonzero(in_bitmap(bits, made))
+                if number >= len(_OFFSETS):  # all tokens agree or none: the first place in a text will do
+                    pairs = np.stack([words.text[places[some]], made[some].view(np.int64)])
+                    some = some[np.sort(np.unique(pairs, axis=1, return_index=True)[1])]
                 found_at.append(places[some])
                 found.append(made[some])
             if not found or not sum(map(len, found)):
@@ -158,7 +175,7 @@ def _verified(candidates: DataFrame) -> DataFrame:
                 sums = np.concatenate([[0], np.cumsum(region[low + shift: high + shift] == item[low:high])])
                 agree = sums[size:] - sums[:-size]
                 best = int(agree.argmax())
-                if agree[best] >= SHARE * size:
+                if agree[best] >= (SHARE * size if size >= LEAST else size):
                     keep.append(n)
                     places.append(int(begin[n]) + shift + low + best)
                     sizes.append(size)
@@ -181,13 +198,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row per document and item: identity of the document, ``item_id`` (the smallest of items
     with equal tokens, ``n_items`` of them), ``token_at`` (place of the best window in the text,
     the first of the best), ``n_tokens`` and ``n_same`` (its tokens, those that agree). Case and
-    punctuation do not count. Items under eight tokens are too short to tell a copy from chance
-    and match nothing; NULL and empty texts and empty tables give no rows; repeated documents are
-    one document. Other columns are not looked at.
+    punctuation do not count. Items under eight tokens are found where all their tokens stand in a
+    row. NULL and empty texts and empty tables give no rows; repeated documents are one document.
+    Other columns are not looked at.
     """
     items = stored(_benchmark_items(benchmark), "items")
     item_seeds = stored(_item_seeds(items), "item_seeds")
-    regions = stored(_regions(docs, bitmap(item_seeds.select(F.col("seed").alias("key")))), "regions")
+    size = F.size("item_tokens")
+    lengths = tuple(sorted(row[0] for row in items.filter(size < LEAST).select(size).distinct().collect()))  # seven at most
+    regions = stored(_regions(docs, bitmap(item_seeds.select(F.col("seed").alias("key"))), lengths), "regions")
     hits = regions.select(ID, HASH, "begin", F.explode(F.arrays_zip("at", "seed")).alias("hit"))
     hits = hits.select(ID, HASH, "begin", F.col("hit.at").alias("at"), F.col("hit.seed").alias("seed"))
     found = hits.join(item_seeds, "seed").select(
@@ -203,5 +222,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` less every row that overlaps an item; NULL and empty texts stay."""
-    found = overlaps(docs, benchmark).select(ID, HASH).distinct()
-    return keep_matching(docs, found, "left_anti")
+    return without(docs, stored(overlaps(docs, benchmark).select(ID, HASH).distinct(), "contaminated"))

@@ -104,9 +104,18 @@ class Moments:
 
 
 def minimise(positive: Moments, unlabelled: Moments, prior: float, ridge: float = 1e-4) -> np.ndarray:
-    """Weights of least non-negative risk: the unbiased minimum, and on from there where a part is below zero."""
-    eye = ridge * np.eye(len(positive.mean))
-    weights = np.linalg.solve(unlabelled.square / 2 + 2 * eye, prior * positive.mean - unlabelled.mean / 2)
+    """Weights of least non-negative risk, with ``ridge`` times their square added.
+
+    The risk is the greater of two convex functions: the positives' part, and that part plus the
+    estimated risk of the negatives, which is the unbiased risk. Its minimum is that of a mean of
+    the two, ``t`` parts of the second, for the ``t`` where the negatives' part is zero; at either
+    end of 0 to 1 that part may keep its sign. It falls as ``t`` grows, so halving finds ``t``.
+    """
+    eye = 2 * ridge * np.eye(len(positive.mean))
+
+    def solve(t: float) -> np.ndarray:
+        square = (1 - t) * prior * positive.square + t * unlabelled.square
+        return np.linalg.solve(square / 2 + eye, ((1 + t) * prior * positive.mean - t * unlabelled.mean) / 2)
 
     def negative_part(w: np.ndarray) -> float:
         def risk(m: Moments) -> float:
@@ -114,21 +123,18 @@ def minimise(positive: Moments, unlabelled: Moments, prior: float, ridge: float
 
         return risk(unlabelled) - prior * risk(positive)
 
-    if negative_part(weights) >= 0:
+    if negative_part(weights := solve(1.0)) >= 0:
         return weights
-    # The corrected risk: as long as the estimated risk of the negatives is below zero it counts
-    # as zero, and only the positives' risk is lowered, in steps that end at the border.
-    target = np.linalg.solve(positive.square * prior / 2 + 2 * eye, prior * positive.mean / 2)
-    low, high = 0.0, 1.0
-    if negative_part(target) < 0:
-        return target
-    for _ in range(60):
+    if negative_part(weights := solve(0.0)) <= 0:
+        return weights
+    low, high = 0.0, 1.0  # above zero at low, below at high
+    for _ in range(80):
         middle = (low + high) / 2
-        if negative_part(weights + middle * (target - weights)) < 0:
+        if negative_part(weights := solve(middle)) > 0:
             low = middle
         else:
             high = middle
-    return weights + high * (target - weights)
+    return weights
 
 
 def prior_of(positive: np.ndarray, unlabelled: np.ndarray) -> float:
@@ -194,13 +200,18 @@ def _moments(rows: DataFrame) -> dict[bool, Moments]:
     return {kind: Moments.of(totals.get(kind, np.zeros(0)).tolist()) for kind in (False, True)}
 
 
+def _scores(basis: np.ndarray, weights: list[float]) -> np.ndarray:
+    """Scores of rows of basis functions, which count as the single floats they are stored in."""
+    return np.clip((1 + basis.astype(np.float32).astype(np.float64) @ np.array(weights)) / 2, 0, 1)
+
+
 def _scored(rows: DataFrame, weights: np.ndarray) -> DataFrame:
     values = [float(w) for w in weights]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = _matrix(batch.column("basis")) @ np.array(values) if batch.num_rows else np.zeros(0)
-            score = pa.array(np.clip((1 + raw) / 2, 0, 1))
+            basis = _matrix(batch.column("basis")) if batch.num_rows else np.zeros((0, len(values)))
+            score = pa.array(_scores(basis, values))
             columns = [batch.column(ID), batch.column(HASH), batch.column("trusted"), score]
             yield pa.RecordBatch.from_arrays(columns, names=[ID, HASH, "trusted", "score"])
 
@@ -219,23 +230,15 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return known.groupBy(ID).agg(F.min("quality").alias("quality")).filter("quality = 1").select(ID)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
-    """``(identity, trusted, score)`` for every row of ``docs`` (``doc_id``, ``text``), and the model.
-
-    Trusted positives are documents whose usable labels all say quality 1; every document counts
-    as unlabelled text. Scores lie in 0 to 1, the estimated probability of quality 1. NULL is the
-    empty text. Repeated rows count as often as they are there and score alike; rows without an id
-    are unlabelled text. Without any trusted positive the model is zero and all scores are 0.5; an
-    empty table gives no rows. Other columns are not looked at.
-    """
+def _fitted(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
+    """The basis of every row, and the model."""
     trusted = trusted_ids(labels).withColumn("trusted", F.lit(True))
     rows = stored(_basis(docs), "basis").join(trusted, ID, "left")
     rows = stored(rows.withColumn("trusted", F.coalesce("trusted", F.lit(False))), "labelled")
     moments = _moments(rows)
     positive, unlabelled = moments[True], moments[False]
     if not positive.count:
-        model = Model([0.0] * len(positive.mean), 0.5)
-        return _scored(rows, np.array(model.weights)), model
+        return rows, Model([0.0] * len(positive.mean), 0.5)
     first = _scored(rows, minimise(positive, unlabelled, 0.5))
     counts = first.groupBy(F.floor(F.col("score") * _BINS).cast("int").alias("bin")).agg(
         F.sum(F.col("trusted").cast("int")).alias("p"), F.count("*").alias("u")
@@ -243,10 +246,38 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Mode
     histogram = np.zeros((2, _BINS + 1))
     for row in counts.collect():  # at most _BINS + 1 rows
         histogram[:, row["bin"]] = row["p"], row["u"]
-    model = Model([], prior_of(*histogram))
-    model.weights = minimise(positive, unlabelled, model.prior).tolist()
+    prior = prior_of(*histogram)
+    return rows, Model(minimise(positive, unlabelled, prior).tolist(), prior)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
+    """``(identity, trusted, score)`` for every row of ``docs`` (``doc_id``, ``text``), and the model.
+
+    Trusted positives are documents whose usable labels all say quality 1; every document counts
+    as unlabelled text. Scores lie in 0 to 1, the estimated probability of quality 1. NULL is the
+    empty text. Repeated rows count as often as they are there and score alike; rows without an id
+    are unlabelled text. Without any trusted positive the model is zero and all scores are 0.5; an
+    empty table gives no rows. Other columns are not looked at.
+    """
+    rows, model = _fitted(docs, labels)
     return _scored(rows, np.array(model.weights)), model
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that `score_documents` gives ``least`` or more, with all their columns.
+
+    The score is a function of the text, so rows are scored and sorted out where they are read.
+    """
+    _, model = _fitted(docs, labels)
+    weights = model.weights
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            yield part.filter(pa.array(_scores(features(texts_of(part.column("text"))), weights) >= least))
+
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    return map_batches(rows, work, rows.schema)
+
+
 def id_column():
     return F.when(F.col(ID) != NO_ID, F.col(ID))

@@ -18,7 +18,7 @@ from recfold.sources.storage import materialise, scratch_dir
 ID, HASH = "__recfold_id", "__recfold_hash"
 _SLICE_BYTES = 2 << 20
 NO_ID = -(1 << 63)
-_BITS = 26
+_LEAST_BITS, _MOST_BITS = 16, 28
 _PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
 
@@ -54,15 +54,29 @@ def with_identity(docs: DataFrame) -> DataFrame:
     return docs.select("*", *identity())
 
 
-def keep_matching(docs: DataFrame, decided: DataFrame, how: str, once: bool = False) -> DataFrame:
-    """Rows of ``docs`` with (``left_semi``) or without (``left_anti``) their identity in ``decided``.
+def without(docs: DataFrame, removed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """Rows of ``docs`` whose identity is not in ``removed``; of those with one in ``repeated``, one each.
 
-    ``once``: of rows with the same identity one stays.
+    A bitmap of these identities clears most other rows where they are read; only the rest are sent
+    to where the identities are.
     """
-    left = with_identity(docs).join(decided.select(ID, HASH), [ID, HASH], how)
-    if once:
-        left = left.dropDuplicates([ID, HASH])
-    return left.select(*own_columns(docs))
+    rows = with_identity(docs)
+    doubtful = removed.select(ID, HASH) if repeated is None else removed.select(ID, HASH).union(repeated.select(ID, HASH))
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(doubtful.select(F.col(HASH).alias("key"))))
+
+    def some(in_doubt: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = in_bitmap(sent.value, batch.column(HASH).to_numpy().view(np.uint64))
+                yield batch.filter(pa.array(found == in_doubt))
+
+        return map_batches(rows, work, rows.schema)
+
+    held = some(True)
+    if repeated is not None:
+        held = held.dropDuplicates([ID, HASH])
+    held = held.join(removed.select(ID, HASH), [ID, HASH], "left_anti")
+    return some(False).select(*own_columns(docs)).union(held.select(*own_columns(docs)))
 
 
 def own_columns(df: DataFrame) -> list[Column]:
@@ -75,29 +89,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
-    """Two bits of ``2 ** 26`` for each hash in the column ``key``: 8 MB however many there are."""
-    mask = (1 << _BITS) - 1
+    """Two bits for each hash in the column ``key``, among 16 to 32 bits a key: 32 MB at most.
+
+    Beyond 16 million keys the share of foreign hashes that both bits let through grows; callers
+    are right whatever passes.
+    """
+    number = keys.count()
+    size = min(max((16 * number).bit_length(), _LEAST_BITS), _MOST_BITS)
+    mask = (1 << size) - 1
     places = F.explode(F.array(
-        F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", _BITS).bitwiseAND(mask)
+        F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", size).bitwiseAND(mask)
     )).alias("place")
     words = keys.select(places).groupBy(F.shiftright("place", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
-    ).toPandas()  # at most 2 ** 20 rows
-    bits = np.zeros(1 << (_BITS - 6), np.int64)
+    ).toPandas()  # at most 2 ** (_MOST_BITS - 6) rows
+    bits = np.zeros(1 << (size - 6), np.int64)
     bits[words["word"]] = words["bits"]
     return bits.view(np.uint64)
 
 
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Where both bits of a hash are set: everywhere that it is among the keys, and rarely elsewhere."""
-    mask = np.uint64((1 << _BITS) - 1)
+    size = np.uint64(len(bits).bit_length() + 5)
+    mask = np.uint64((1 << int(size)) - 1)
 
     def is_set(at: np.ndarray) -> np.ndarray:
         return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
     found = is_set(keys & mask)
     some = np.flatnonzero(found)
-    found[some] = is_set((keys[some] >> np.uint64(_BITS)) & mask)
+    found[some] = is_set((keys[some] >> size) & mask)
     return found
 
 

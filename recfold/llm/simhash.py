@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recfold.llm.components import connected_components
-from recfold.llm.rows import HASH, ID, NO_ID, identity, keep_matching, map_batches, slices, stored
+from recfold.llm.rows import HASH, ID, NO_ID, identity, map_batches, slices, stored, without
 
 _TILE = 4096
 _SOME_HASHES = 1 << 16
@@ -237,5 +237,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed:
 def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
     """``docs`` with one row of each component: the one that stands for it, once if it is repeated."""
     groups = simhash_components(docs, shingle, radius, seed)
-    kept = groups.filter((F.col(ID) == F.col("first_id")) & (F.col(HASH) == F.col("first_hash"))).select(ID, HASH)
-    return keep_matching(docs, kept, "left_semi", once=True)
+    first = (F.col(ID) == F.col("first_id")) & (F.col(HASH) == F.col("first_hash"))
+    decided = groups.groupBy(ID, HASH).agg(F.max(first).alias("stays"), F.count("*").alias("n"))
+    decided = stored(decided.filter("not stays or n > 1"), "decided")
+    return without(docs, decided.filter("not stays"), decided.filter("stays"))
