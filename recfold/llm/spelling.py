@@ -150,39 +150,47 @@ def keys_of(word: str, ranks: dict[str, int]) -> tuple[list[int], list[int], int
     return asks, offers, prefix[-1][0]
 
 
+def letters_of(word: str) -> int:
+    """Which letters a word has, folded to 32 bits: one edit changes two of them at most."""
+    return sum(1 << code for code in {ord(letter) % 32 for letter in word})
+
+
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """``(a, b)``: ids of words one edit apart, ``a < b``; ``vocabulary`` has ``id``, ``word`` of five letters at least."""
     ranks = bigram_ranks(vocabulary)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "word"):
-            ids, keys, ends, asked = [], [], [], []
+            ids, keys, signs, asked = [], [], [], []  # a sign is the rank, then the letters
 
             def take() -> pa.RecordBatch:
                 done = pa.RecordBatch.from_pydict({
                     "id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()),
-                    "rank": pa.array(ends, pa.int32()), "asks": pa.array(asked, pa.bool_()),
+                    "sign": pa.array(signs, pa.int64()), "asks": pa.array(asked, pa.bool_()),
                 })
-                for column in (ids, keys, ends, asked):
+                for column in (ids, keys, signs, asked):
                     column.clear()
                 return done
 
             for number, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist(), strict=True):
                 asks, offers, end = keys_of(word, ranks)
+                sign = end << 32 | letters_of(word)
                 for some, is_ask in ((asks, True), (offers, False)):
                     keys += some
                     ids += [number] * len(some)
-                    ends += [end] * len(some)
+                    signs += [sign] * len(some)
                     asked += [is_ask] * len(some)
                 if len(ids) >= _BATCH:
                     yield take()
             yield take()
 
-    entries = stored(map_batches(vocabulary.select("id", "word"), index, "id long, key long, rank int, asks boolean"),
+    entries = stored(map_batches(vocabulary.select("id", "word"), index, "id long, key long, sign long, asks boolean"),
                      "grams")
-    asks = entries.filter("asks").select("key", F.col("id").alias("x"), F.col("rank").alias("x_rank"))
-    offers = entries.filter("not asks").select("key", F.col("id").alias("y"), F.col("rank").alias("y_rank"))
-    met = asks.join(offers, "key").filter("x_rank <= y_rank and x <> y")
+    asks = entries.filter("asks").select("key", F.col("id").alias("x"), F.col("sign").alias("x_sign"))
+    offers = entries.filter("not asks").select("key", F.col("id").alias("y"), F.col("sign").alias("y_sign"))
+    others = F.bit_count(F.col("x_sign").bitwiseXOR(F.col("y_sign")).bitwiseAND(0xFFFFFFFF))
+    earlier = F.shiftright("x_sign", 32) <= F.shiftright("y_sign", 32)
+    met = asks.join(offers, "key").filter(earlier & (others <= 2) & (F.col("x") != F.col("y")))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     left = vocabulary.select(F.col("id").alias("a"), F.col("word").alias("a_word"))
     right = vocabulary.select(F.col("id").alias("b"), F.col("word").alias("b_word"))
