@@ -13,7 +13,7 @@ from recfold.config import Expectations, Skew
 from recfold.operators import audit, crosswalk as cw, golden as gold, quality, relational, reports
 from recfold.operators.crosswalk import RecordProfile
 from recfold.sinks.files import write_csv, write_json, write_parquet
-from recfold.sources.delimited import combine_reports, failed_report, read_tolerant_csv
+from recfold.sources.delimited import combine_reports, failed_report, read_tolerant_csv, unopened_report
 from recfold.sources.fingerprint import compare_fingerprints, fingerprint
 from recfold.sources.storage import materialise, scratch_dir
 from recfold.sources.tables import SourceUnavailable, UnreadableSource, load_child, read_records
@@ -88,6 +88,12 @@ def read_children(spark: SparkSession, config: JobConfig, scratch: str) -> tuple
             except UnreadableSource as error:
                 ingest.append(combine_reports(failed_report(error.profile), name))
                 raise
+            except KeyError:  # not listed
+                raise
+            except Exception as error:
+                if not (isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"):
+                    ingest.append(unopened_report(spark, name))
+                raise
             ingest.append(combine_reports(report, name))
             return rows
 
@@ -108,7 +114,7 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
 
     try:
         before = materialise(fingerprint(spark, config.protected), f"{scratch}/before") if config.protected else None
-    except AnalysisException as error:
+    except FileNotFoundError as error:
         raise SourceUnavailable(f"FAIL_BLOQUEADO: a protected file is missing: {error}") from error
     records = read_records(spark, config.records)
     children, ingest = read_children(spark, config, scratch)

@@ -11,9 +11,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Comma, header in every part file; NULL is empty, the empty text is quoted, and blanks at
-    either end of a value stay."""
+    either end of a value stay. ``sources.delimited.read_exact_csv`` reads all of it back."""
     df.write.mode("overwrite").options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n"
     ).csv(path)
 
 

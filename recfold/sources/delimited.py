@@ -74,9 +74,10 @@ def _transitions(line: Column, sep: str) -> tuple[Column, Column]:
     return left_open(line), F.when(line.rlike(closing), left_open(rest)).otherwise(F.lit(True))
 
 
-def _lines(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str], encoding: str, line_sep: str | None = None) -> DataFrame:
     """Physical lines with their file, the start of their part of it, and their order within the part."""
-    text = spark.read.text(path)  # bytes as they are, whatever the encoding
+    reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
+    text = reader.text(path)  # bytes as they are, whatever the encoding
     line = F.col("value")
     if encoding.upper() not in ("UTF-8", "UTF8"):
         line = F.decode(line.cast("binary"), encoding)
@@ -253,6 +254,27 @@ def read_tolerant_csv(
     return landed.filter(_KEPT).drop(_FILE, _KEPT), reject_report(landed, profile)
 
 
+def read_exact_csv(spark: SparkSession, path: str, schema: StructType | str, scratch: str) -> DataFrame:
+    """What ``sinks.files.write_csv`` wrote to ``path``, to the letter, read in parts.
+
+    Values keep their line breaks, carriage returns and blanks; NULL stands apart from the empty text.
+    """
+    fields = spark.createDataFrame([], schema).schema
+    records, _ = records_of(_lines(spark, path, "UTF-8", "\n"), ",", scratch)
+    records = materialise(records, f"{scratch}/records")
+    firsts = records.groupBy(_FILE).agg(F.min(F.struct("parte", "posicao")).alias("cabecalho"))
+    # Only a quoted field that is empty becomes the mark; a written value can't be it.
+    mark = "\ue000"
+    text = StructType([StructField(f"_{i}", StringType()) for i in range(len(fields))])
+    options = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": mark, "nullValue": "", "lineSep": "\n"}
+    behind = records.join(firsts, _FILE).filter(F.struct("parte", "posicao") > F.col("cabecalho"))
+    values = behind.select(F.from_csv("registro", text.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("v"))
+    return values.select(*(
+        F.when(F.col(f"v._{i}") == mark, "").otherwise(F.col(f"v._{i}")).cast(field.dataType).alias(field.name)
+        for i, field in enumerate(fields)
+    ))
+
+
 def _headers(
     firsts: DataFrame, profile: DataFrame, path: str, header: list[str] | None, sep: str
 ) -> dict[str, list[str]]:
@@ -279,6 +301,15 @@ def failed_report(profile: DataFrame) -> DataFrame:
     ))
 
 
+def unopened_report(spark: SparkSession, name: str) -> DataFrame:
+    """The report of a source that is there but of which not even lines could be read."""
+    none = F.lit(0).cast("long")
+    return _with_rejects(spark.range(1).select(
+        F.lit(name).alias("arquivo"), none.alias("linhas_esperadas"), none.alias("linhas_sucesso"),
+        none.alias("linhas_excedentes"),
+    ))
+
+
 def reject_report(landed: DataFrame, profile: DataFrame) -> DataFrame:
     """Per file: lines without the header, rows read, their difference and its share.
 

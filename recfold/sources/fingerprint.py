@@ -4,48 +4,99 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField
 
-# Files up to this size are hashed from one binary value; larger ones are read in pieces.
-WHOLE_LIMIT = 128 * 1024 * 1024
+from recfold.sources.storage import materialise, scratch_dir
+
 _PIECE = 8 * 1024 * 1024
+_TASK_BYTES = 128 * 1024 * 1024
+
+
+def _located(spark: SparkSession, path: str) -> str:
+    """The address of a path behind mounts and defaults, as the session's file system resolves it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        return where.getFileSystem(spark._jsc.hadoopConfiguration()).resolvePath(where).toString()
+    except Py4JJavaError as error:
+        if "FileNotFoundException" not in str(error.java_exception):
+            raise
+        raise FileNotFoundError(path) from error
 
 
-def _hash_in_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for uri in batch["arquivo"]:
-            scheme, _, rest = uri.partition(":")
-            if scheme == "file":
-                storage, path = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-            else:
-                storage, path = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with storage.open_input_stream(path) as stream:
-                while piece := stream.read(_PIECE):
-                    digest.update(piece)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
-
-
-def fingerprint(spark: SparkSession, paths: str | list[str], whole_limit: int = WHOLE_LIMIT) -> DataFrame:
-    """Path, length and SHA-256 of every file below ``paths``; files are spread over tasks.
-
-    The file's bytes are only loaded for files within ``whole_limit``: the size filter reaches
-    the reader. A larger file takes a task of its own that holds one piece at a time. Spark
-    lists no empty files; a file that became empty shows up as gone.
+def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``arquivo`` and ``tamanho_bytes`` of every file below ``paths``, empty and hidden ones included.
+
+    Tasks list the folders: one the given paths, others the folders found there with all below.
+    """
+    def entries(uri: str, deep: bool):
+        # Defined here, so that workers need nothing of this library.
+        scheme, _, rest = uri.partition(":")
+        if scheme == "file":
+            storage, path = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        else:
+            storage, path = fs.FileSystem.from_uri(uri)
+        before = uri[: len(uri) - len(path)] if uri.endswith(path) else f"{scheme}:"
+        own = storage.get_file_info(path)
+        if own.type == fs.FileType.File:
+            return [(uri, own.size, False)]
+        return [
+            (before + info.path, info.size or 0, info.type == fs.FileType.Directory)
+            for info in storage.get_file_info(fs.FileSelector(path, recursive=deep))
+        ]
+
+    def listing(deep: bool):
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for uri in batch["arquivo"]:
+                    yield pd.DataFrame(entries(uri, deep), columns=["arquivo", "tamanho_bytes", "pasta"])
+        return work
+
+    schema = "arquivo string, tamanho_bytes long, pasta boolean"
+    roots = [_located(spark, path) for path in ([paths] if isinstance(paths, str) else paths)]
+    top = spark.createDataFrame([(root,) for root in roots], "arquivo string").mapInPandas(listing(False), schema)
+    top = materialise(top, f"{scratch_dir(spark)}/listing")
+    folders = top.filter("pasta")
+    number = folders.count()
+    found = top.filter("NOT pasta")
+    if number:
+        deeper = folders.select("arquivo").repartition(number).mapInPandas(listing(True), schema)
+        found = found.unionByName(deeper.filter("NOT pasta"))
+    return found.select("arquivo", "tamanho_bytes")
+
+
+def fingerprint(spark: SparkSession, paths: str | list[str], task_bytes: int = _TASK_BYTES) -> DataFrame:
+    """Path, length and SHA-256 of every file below ``paths``, empty and hidden ones included.
+
+    Files are dealt out to as many tasks as their bytes ask for and read there piece by piece,
+    whatever their size. Paths are those that Arrow's file systems open, mounts resolved; one that
+    does not exist raises ``FileNotFoundError``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    listing = [F.col("path").alias("arquivo"), F.col("length").alias("tamanho_bytes")]
-    small = files.filter(F.col("length") <= whole_limit).select(*listing, F.sha2("content", 256).alias("sha256"))
-    large = files.filter(F.col("length") > whole_limit).select(*listing).repartition("arquivo")
-    return small.unionByName(
-        large.mapInPandas(_hash_in_pieces, "arquivo string, tamanho_bytes long, sha256 string")
-    )
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            digests = []
+            for uri in batch["arquivo"]:
+                scheme, _, rest = uri.partition(":")
+                if scheme == "file":
+                    storage, path = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    storage, path = fs.FileSystem.from_uri(uri)
+                digest = hashlib.sha256()
+                with storage.open_input_stream(path) as stream:
+                    while piece := stream.read(_PIECE):
+                        digest.update(piece)
+                digests.append(digest.hexdigest())
+            yield batch.assign(sha256=digests)
+
+    files = materialise(list_files(spark, paths), f"{scratch_dir(spark)}/files")
+    number, size = files.agg(F.count("*"), F.sum("tamanho_bytes")).first()
+    tasks = min(number, max(spark.sparkContext.defaultParallelism, ceil((size or 0) / task_bytes)))
+    return files.repartition(max(tasks, 1)).mapInPandas(work, "arquivo string, tamanho_bytes long, sha256 string")
 
 
 def _as_text(field: StructField) -> Column:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recfold import config as c
 
@@ -38,18 +37,26 @@ def empty_table(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"`{column}` string" for column in columns))
 
 
+def probe(df: DataFrame) -> DataFrame:
+    """``df`` after every one of its files was opened, in tasks, so that one that can't be shows here.
+
+    The rows are counted without a column: of a Parquet file that reads the end alone.
+    """
+    df.agg(F.count("*")).collect()
+    return df
+
+
 def load_child(spark: SparkSession, name: str, read: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
-    """The child table and whether it was there.
+    """The child table and whether it could be read.
 
-    An optional table that is missing, or cannot be read whole, becomes an empty one, so that its
-    attributes come out NULL; such a mandatory one stops the job.
+    Any failure to read counts: a missing path, another format, a damaged file, a column that is
+    not there. Such an optional table becomes an empty one, so that its attributes come out NULL;
+    such a mandatory one stops the job.
     """
     columns = c.CHILD_TABLES[name]
     try:
-        return require_columns(read(), name, columns), True
-    except (AnalysisException, UnreadableSource, KeyError) as error:
-        if isinstance(error, AnalysisException) and error.getCondition() != "PATH_NOT_FOUND":
-            raise
+        return probe(require_columns(read(), name, columns)), True
+    except Exception as error:
         if name in c.MANDATORY_TABLES:
             raise SourceUnavailable(f"FAIL_BLOQUEADO: {name} could not be loaded: {error}") from error
         return empty_table(spark, columns), False

@@ -3,9 +3,12 @@ import hashlib
 import inspect
 import io
 import random
+import subprocess
+import sys
 
 import fixtures
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from recfold import config as c
@@ -163,26 +166,92 @@ def test_round_trips(spark, tmp_path):
 
 
 def test_fingerprints(spark, tmp_path):
+    """Empty, hidden and nested files, and names with blanks and signs; read in one way whatever the size."""
     folder = tmp_path / "files"
-    folder.mkdir()
-    content = {"a.bin": b"x" * 100, "b com espaco.bin": b"y" * 5000, "c+[1].bin": b"z" * 2000}
+    (folder / "sub" / "_hidden").mkdir(parents=True)
+    content = {
+        "a.bin": b"", "b com espaco.bin": b"y" * 5000, "c+[1].bin": b"z" * 2000, "_c.bin": b"c", ".d.bin": b"d" * 9_000_000,
+        "sub/e.bin": b"e", "sub/_hidden/f%20.bin": b"f" * 10,
+    }
     for name, data in content.items():
         (folder / name).write_bytes(data)
     expected = {name: (len(data), hashlib.sha256(data).hexdigest()) for name, data in content.items()}
 
     def found(**options):
         rows = fingerprint(spark, str(folder), **options).collect()
-        return {row.arquivo.split("/")[-1]: (row.tamanho_bytes, row.sha256) for row in rows}
+        return {row.arquivo.split("/files/")[-1]: (row.tamanho_bytes, row.sha256) for row in rows}
 
     assert found() == expected
-    assert found(whole_limit=1000) == expected
+    assert found(task_bytes=1000) == expected
+    one = fingerprint(spark, [str(folder / "a.bin"), f"file://{folder}/sub"]).collect()
+    assert sorted(row.arquivo.split("/")[-1] for row in one) == ["a.bin", "e.bin", "f%20.bin"]
+    with pytest.raises(FileNotFoundError):
+        fingerprint(spark, str(tmp_path / "none"))
+    (tmp_path / "empty").mkdir()
+    assert fingerprint(spark, str(tmp_path / "empty")).count() == 0
 
     before = materialise(fingerprint(spark, str(folder)), str(tmp_path / "before"))
     assert compare_fingerprints(before, fingerprint(spark, str(folder))).filter("NOT iguais").isEmpty()
     (folder / "a.bin").write_bytes(b"z" * 100)
+    (folder / "_c.bin").write_bytes(b"")
     (folder / "d.bin").write_bytes(b"new")
     changed = compare_fingerprints(before, fingerprint(spark, str(folder))).filter("NOT iguais")
-    assert sorted(row.arquivo.split("/")[-1] for row in changed.collect()) == ["a.bin", "d.bin"]
+    assert sorted(row.arquivo.split("/")[-1] for row in changed.collect()) == ["_c.bin", "a.bin", "d.bin"]
+
+
+def test_fingerprints_need_no_library_on_the_workers(tmp_path):
+    """A fresh session in another folder: workers find no package to import."""
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / "_x").write_bytes(b"x")
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+from recfold.sources.fingerprint import fingerprint
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.range(1).mapInPandas(lambda parts: (__import__("pandas").DataFrame(
+    {{"n": [any("recfold" in p or p == {str(ROOT)!r} for p in __import__("sys").path)]}}) for _ in parts), "n boolean").first()[0] is False
+print("found", fingerprint(spark, {str(tmp_path / 'files')!r}).first().sha256)
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert f"found {hashlib.sha256(b'x').hexdigest()}" in done.stdout, done.stderr[-2000:]
+
+
+def test_any_failing_source_reaches_the_gate(spark, tmp_path):
+    """Damaged files, another format and failing readers; mandatory ones stop the job."""
+    (tmp_path / "bad.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    mixed = tmp_path / "mixed"
+    write_parquet(spark.createDataFrame([("1",) * 3], "numero_ocorrencia string, BURACOS string, `MATERIAL NA PISTA` string"), str(mixed))
+    (mixed / "part-zzz.snappy.parquet").write_bytes(b"PAR1 neither is this PAR1")
+
+    def failing():
+        raise OSError("no disk")
+
+    schema = "numero_ocorrencia string, BURACOS string, `MATERIAL NA PISTA` string"
+    reads = [lambda: spark.read.parquet(str(tmp_path / "bad.parquet")), lambda: spark.read.schema(schema).parquet(str(mixed)), failing]
+    for read_it in reads:
+        table, there = load_child(spark, "der_cond_via", read_it)
+        assert not there and table.isEmpty() and table.columns == c.CHILD_TABLES["der_cond_via"]
+        with pytest.raises(SourceUnavailable, match="FAIL_BLOQUEADO"):
+            load_child(spark, "der_envolvidos", read_it)
+    assert load_child(spark, "der_cond_via", lambda: spark.createDataFrame([], schema))[1]
+
+
+def test_exact_csv(spark, tmp_path):
+    """NULL, the empty text, blanks, every kind of line break and quotes come back as they were, from small parts."""
+    values = [None, "", " ", "a", "\n", "\r", "a\r\nb", '"', '""', 'x,"y"\n\n,z"', "\\", "\\n", "é", "  pad  ", ",", '"\n"']
+    draw = random.Random(6)
+    rows = [tuple(draw.choices(values, k=3)) + (draw.choice([None, 1, -5]),) for _ in range(400)]
+    schema = "a string, b string, c string, d int"
+    write_csv(spark.createDataFrame(rows, schema).repartition(3), str(tmp_path / "out"))
+    for name, value in (("maxPartitionBytes", 300), ("openCostInBytes", 1)):
+        spark.conf.set(f"spark.sql.files.{name}", value)
+    try:
+        back = delimited.read_exact_csv(spark, str(tmp_path / "out"), schema, str(tmp_path / "scratch")).collect()
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    assert sorted(map(tuple, back), key=repr) == sorted(rows, key=repr)
 
 
 def test_scratch_follows_the_session(spark):
