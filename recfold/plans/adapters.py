@@ -33,7 +33,8 @@ SELECT LPAD(CAST(o_orderkey AS STRING), 9, '0') AS id_acidente_unico,
             WHEN o_orderkey % 11 = 1 THEN 'NaN'
             WHEN o_orderkey % 23 = 2 THEN '  '
             ELSE CONCAT({_occurrence('o_orderkey')}, '-001') END AS id_original_fonte,
-       o_orderpriority AS arquivo_origem,
+       CASE WHEN o_orderkey % 17 = 3 THEN '' WHEN o_orderkey % 19 = 4 THEN CONCAT('a, "b"', CHR(13), CHR(10), CHR(10), '"')
+            ELSE o_orderpriority END AS arquivo_origem,
        CASE CAST(FLOOR(o_orderkey / 6) AS BIGINT) % 4
             WHEN 0 THEN CASE WHEN o_orderkey % 5 = 4 AND CAST(FLOOR(o_orderkey / 6) AS BIGINT) % 3 <> 0
                              THEN 'UNICO' ELSE 'FORTE' END
@@ -100,8 +101,30 @@ SELECT CASE l_linenumber
          ELSE {_LINE_START}, ';ILESO;A MAIS') END AS linha
 FROM {{lineitem}}'''
 
+# Lines of files that break within quoted fields, hold long fields and blank lines in them, and
+# have their columns in two orders, by file.
+BROKEN_HEADERS = ("numero_ocorrencia;numero_ocorrencia_associado;condicao_fisica_descricao",
+                  "condicao_fisica_descricao;numero_ocorrencia;numero_ocorrencia_associado")
+BROKEN_FILE = "CAST(FLOOR(l_orderkey / 20000) AS BIGINT)"
+_BROKEN_NUMBERS = f"CONCAT({_occurrence('l_orderkey')}, '-001;', {_occurrence('l_orderkey')}, ' á')"
+_BROKEN_STATE = '''CASE l_linenumber
+             WHEN 1 THEN CONCAT('"COM', CHR(10), 'LESÕES; ""GRAVES"""')
+             WHEN 2 THEN CONCAT('"a;', CHR(10), CHR(10), '""b"')
+             WHEN 3 THEN REPEAT('x', 3000)
+             WHEN 5 THEN CONCAT('"x', CHR(10), 'y"')
+             WHEN 6 THEN 'NaN' ELSE 'ILESO' END'''
+BROKEN_LINES = f"""
+SELECT arquivo,
+       CASE WHEN l_linenumber = 4 THEN CASE WHEN arquivo % 2 = 0 THEN numeros ELSE CONCAT(estado, ';', numero) END
+            ELSE CONCAT(CASE WHEN arquivo % 2 = 0 THEN CONCAT(numeros, ';', estado) ELSE CONCAT(estado, ';', numeros) END,
+                        CASE WHEN l_linenumber = 5 THEN ';A MAIS' ELSE '' END) END AS linha
+FROM (SELECT {BROKEN_FILE} AS arquivo, l_linenumber, {_BROKEN_NUMBERS} AS numeros,
+             CONCAT({_occurrence('l_orderkey')}, '-001') AS numero, {_BROKEN_STATE} AS estado
+      FROM {{lineitem}}) k"""
+
 INPUTS = {
     "delimited_lines": DELIMITED_LINES,
+    "broken_lines": BROKEN_LINES,
     "base": BASE,
     "der_ocorrencia": DER_OCORRENCIA,
     "der_veiculos": DER_VEICULOS,

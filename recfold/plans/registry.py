@@ -13,7 +13,7 @@ from recfold.operators import audit, crosswalk as cw, golden as gold, quality, r
 from recfold.plans import adapters
 from recfold.plans.job import Decision, decide
 from recfold.sinks.files import write_csv, write_json, write_parquet
-from recfold.sources.delimited import combine_reports, read_tolerant_csv
+from recfold.sources.delimited import combine_reports, read_exact_csv, read_tolerant_csv
 from recfold.sources.fingerprint import compare_fingerprints, content_fingerprint, fingerprint
 from recfold.sources.storage import materialise, scratch_dir
 from recfold.sources.tables import load_child
@@ -116,7 +116,7 @@ def crosswalk_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/crosswalk"
     write_csv(cw.crosswalk(_annotated(spark, sf_dir)).select(c.CROSSWALK_COLUMNS), path)
     schema = ", ".join(f"{column} string" for column in c.CROSSWALK_COLUMNS)
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return read_exact_csv(spark, path, schema, f"{scratch_dir(spark)}/read")
 
 
 @query
@@ -336,6 +336,31 @@ def csv_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine_reports(_read_delimited(spark, sf_dir)[1], "der_envolvidos")
 
 
+def _read_broken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Write files whose fields hold line breaks, each under its header, and read them tolerantly."""
+    scratch = scratch_dir(spark)
+    lines = adapters.spark_input(spark, sf_dir, "broken_lines")
+    even, odd = map(F.lit, adapters.BROKEN_HEADERS)
+    files = lines.select("arquivo").distinct()
+    headers = files.select("arquivo", F.when(F.col("arquivo") % 2 == 0, even).otherwise(odd).alias("linha"))
+    ordered = headers.withColumn("ordem", F.lit(0)).unionByName(lines.withColumn("ordem", F.lit(1)))
+    ordered.repartition("arquivo").sortWithinPartitions("arquivo", "ordem").select("arquivo", "linha").write.partitionBy(
+        "arquivo"
+    ).text(f"{scratch}/source")
+    return read_tolerant_csv(spark, f"{scratch}/source", scratch, encoding="UTF-8")
+
+
+@query
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of files with line breaks in fields, long fields, and columns in two orders."""
+    return _read_broken(spark, sf_dir)[0].select(*adapters.DELIMITED_HEADER)
+
+
+@query
+def csv_line_breaks_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_reports(_read_broken(spark, sf_dir)[1], "der_envolvidos")
+
+
 # File jobs
 
 
