@@ -38,35 +38,33 @@ def distinct_keys(children: dict[str, DataFrame]) -> DataFrame:
 
 
 def key_presence(children: dict[str, DataFrame]) -> DataFrame:
-    """One row per associated number: where it occurs as such, and the full numbers of its events per table.
+    """One row per associated number: the tables it occurs in as such, and those of each full number of its events.
 
     A number leads to its associated one by losing its suffix, so both kinds of lookup need the
-    rows of one associated number only, and a golden row finds them with one key. A suffix has three
-    digits: the lists stay short whatever the tables hold.
+    rows of one associated number only, and a golden row finds them with one key. Tables are bits.
+    Rows are first reduced per number, in tasks; a suffix has three digits, so the lists stay short.
     """
     number, associated = F.trim(F.col(EXACT)), F.trim(F.col(ASSOCIATED))
     parts = [
         children[table].select(
-            F.lit(short).alias("tabela"),
+            F.lit(1 << bit).alias("tabelas"),
             F.inline(F.array(
-                F.struct(keys.associated_number(number).alias("associado"), number.alias("numero")),
-                F.struct(associated.alias("associado"), F.lit(None).cast("string").alias("numero")),
+                F.struct(associated.alias("chave"), F.lit(False).alias("exata")),
+                F.struct(number.alias("chave"), F.lit(True).alias("exata")),
             )),
         )
-        for table, short in AUDITED.items()
+        for bit, table in enumerate(AUDITED)
     ]
-    exact = F.col("numero").isNotNull()
-    entries = reduce(DataFrame.unionByName, parts).filter(
-        F.when(exact, F.col("numero") != "").otherwise(F.col("associado") != "")
+    entries = reduce(DataFrame.unionByName, parts).filter(F.col("chave") != "")
+    seen = entries.groupBy("chave", "exata").agg(F.bit_or("tabelas").alias("tabelas"))
+    exact = F.col("exata")
+    return seen.select(
+        F.when(exact, keys.associated_number(F.col("chave"))).otherwise(F.col("chave")).alias("associado"),
+        F.when(~exact, F.col("tabelas")).alias("tabelas_assoc"),
+        F.when(exact, F.struct(F.col("chave").alias("numero"), "tabelas")).alias("exato"),
+    ).groupBy("associado").agg(
+        F.max("tabelas_assoc").alias("tabelas_assoc"), F.collect_list("exato").alias("exatos")
     )
-    flags = []
-    for short in AUDITED.values():
-        here = F.col("tabela") == short
-        flags += [
-            F.collect_set(F.when(here, F.col("numero"))).alias(f"in_{short}_exato"),
-            F.max(F.when(here & ~exact, 1).otherwise(0)).alias(f"in_{short}_assoc"),
-        ]
-    return entries.groupBy("associado").agg(*flags)
 
 
 def golden_hot_keys(golden: DataFrame, skew: Skew = Skew()) -> HotKeys:
@@ -90,13 +88,12 @@ def audit(
         (hot or {}).get(LOOKED_UP), skew,
     )
     eligible = F.col("fonte_representante").isin(c.OFFICIAL_SOURCES) & number.isNotNull()
-    flags = []
-    for short in AUDITED.values():
-        matched = F.coalesce(F.array_contains(f"in_{short}_exato", number), F.lit(False))
-        flags += [
-            matched.cast("int").alias(f"match_{short}_exato"),
-            F.coalesce(F.col(f"in_{short}_assoc"), F.lit(0)).alias(f"match_{short}_assoc"),
-        ]
+    mine = F.get(F.filter("exatos", lambda entry: entry["numero"] == number), F.lit(0))["tabelas"]
+    found = found.withColumn("tabelas_exato", mine)
+    flags = [
+        F.coalesce(F.getbit(F.col(f"tabelas_{kind}"), F.lit(bit)).cast("int"), F.lit(0)).alias(f"match_{short}_{kind}")
+        for bit, short in enumerate(AUDITED.values()) for kind in ("exato", "assoc")
+    ]
     return found.select(*golden.columns, F.when(eligible, 1).otherwise(0).alias("is_elegivel_der"), *flags)
 
 
@@ -181,12 +178,16 @@ def record_counters(records: DataFrame) -> DataFrame:
     )
 
 
+def distinct_count(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct values of a column, as a row: of the table only this column is read and sent, each value once."""
+    return df.select(column).distinct().agg(F.count(column).alias(name))
+
+
 def crosswalk_counters(crosswalk: DataFrame) -> DataFrame:
     flag, rule = F.col("flag_duplicidade"), F.col("regra_deduplicacao_final")
     waze = (F.col("fonte_original") == c.WAZE) & (flag != c.STRONG)
     return crosswalk.agg(
         F.count("*").alias("n_crosswalk"),
-        F.countDistinct("id_acidente_unico").alias("n_crosswalk_ids"),
         F.count_if(flag == c.STRONG).alias("n_forte_saida"),
         F.count_if((flag == c.POSSIBLE) & (rule == c.RULE_POSSIBLE)).alias("n_possivel_regra_ok"),
         F.count_if(waze).alias("n_waze_nao_forte"),
@@ -198,7 +199,6 @@ def golden_counters(golden: DataFrame) -> DataFrame:
     official = F.col("fonte_representante").isin(c.OFFICIAL_SOURCES)
     return golden.agg(
         F.count("*").alias("n_final"),
-        F.countDistinct("id_acidente_final").alias("n_final_ids"),
         F.count_if(official & F.col("numero_ocorrencia_final").isNotNull()).alias("n_chave_elegivel_com_fisica"),
         F.count_if(official).alias("n_chave_elegivel_total"),
         F.count("numero_ocorrencia_final").alias("n_com_numero"),
@@ -212,8 +212,18 @@ def golden_counters(golden: DataFrame) -> DataFrame:
 
 
 def counters(records: DataFrame, crosswalk: DataFrame, golden: DataFrame) -> DataFrame:
-    """Policy and uniqueness counters, one pass per table."""
-    return merge_totals([record_counters(records), crosswalk_counters(crosswalk), golden_counters(golden)])
+    """Policy and uniqueness counters; run it on written tables, of which each part reads its own columns."""
+    return merge_totals(_counter_parts(records, crosswalk, golden))
+
+
+def _counter_parts(records: DataFrame, crosswalk: DataFrame, golden: DataFrame) -> list[DataFrame]:
+    return [
+        record_counters(records),
+        crosswalk_counters(crosswalk),
+        distinct_count(crosswalk, "id_acidente_unico", "n_crosswalk_ids"),
+        golden_counters(golden),
+        distinct_count(golden, "id_acidente_final", "n_final_ids"),
+    ]
 
 
 def facts(
@@ -221,9 +231,7 @@ def facts(
 ) -> DataFrame:
     """All counters, metrics and rates in one row, as the checks need them."""
     return rates(merge_totals([
-        record_counters(records),
-        crosswalk_counters(crosswalk),
-        golden_counters(golden),
+        *_counter_parts(records, crosswalk, golden),
         children["der_ocorrencia"].agg(F.count("*").alias("n_ocorrencias")),
         aggregates.agg(F.count("*").alias("n_agregados")),
         profile_metrics(golden, children),

@@ -23,6 +23,7 @@ from recfold.config import Skew
 from recfold.functions import keys, policy
 from recfold.operators.relational import distinct_list
 from recfold.operators.skew import HotKeys, hot_keys, spread_join
+from recfold.sources.storage import side_by_side
 
 
 def with_dedup_key(records: DataFrame) -> DataFrame:
@@ -58,8 +59,8 @@ class RecordProfile:
 def profile_records(records: DataFrame, skew: Skew = Skew()) -> RecordProfile:
     """Hot dedup keys and relational targets, and whether own-id keys meet no other key."""
     keyed = with_dedup_key(records)
-    hot = hot_keys(keyed, {name: F.col(name) for name in ("chave_dedup", "target_der_id")}, skew)
-    return RecordProfile(hot, _own_keys_apart(keyed))
+    columns = {name: F.col(name) for name in ("chave_dedup", "target_der_id")}
+    return RecordProfile(*side_by_side(lambda: hot_keys(keyed, columns, skew), lambda: _own_keys_apart(keyed)))
 
 
 def _own_keys_apart(keyed: DataFrame) -> bool:
@@ -68,6 +69,7 @@ def _own_keys_apart(keyed: DataFrame) -> bool:
     The bare keys are counted; value ranges settle the rest in most cases, else a join of them.
     """
     own, key = policy.keeps_own_key(), F.col("chave_dedup")
+    repeated = keyed.filter(own).groupBy("chave_dedup").count().filter("count > 1")
     bounds = keyed.agg(
         F.min(F.when(own, key)).alias("own_low"),
         F.max(F.when(own, key)).alias("own_high"),
@@ -77,11 +79,11 @@ def _own_keys_apart(keyed: DataFrame) -> bool:
         F.coalesce(
             (F.col("own_high") < F.col("shared_low")) | (F.col("shared_high") < F.col("own_low")), F.lit(True)
         )
-    ).first()
-    repeated = keyed.filter(own).groupBy("chave_dedup").count().filter("count > 1")
-    if not repeated.isEmpty():
+    )
+    unique, apart = side_by_side(repeated.isEmpty, lambda: bounds.first()[0])
+    if not unique:
         return False
-    if bounds[0]:
+    if apart:
         return True
     shared = keyed.filter(~own).select("chave_dedup").distinct()
     return keyed.filter(own).select("chave_dedup").join(shared, "chave_dedup", "left_semi").isEmpty()

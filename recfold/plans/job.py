@@ -15,7 +15,7 @@ from recfold.operators.crosswalk import RecordProfile
 from recfold.sinks.files import write_csv, write_json, write_parquet
 from recfold.sources.delimited import combine_reports, failed_report, read_tolerant_csv, unopened_report
 from recfold.sources.fingerprint import compare_fingerprints, fingerprint
-from recfold.sources.storage import materialise, scratch_dir
+from recfold.sources.storage import materialise, scratch_dir, side_by_side
 from recfold.sources.tables import SourceUnavailable, UnreadableSource, load_child, read_records
 
 
@@ -65,13 +65,17 @@ class Decision:
 
 def decide(records: DataFrame, children: dict[str, DataFrame], skew: Skew = Skew(), scratch: str | None = None) -> Decision:
     """With ``scratch``, what several outputs read again is written there once."""
-    profile = cw.profile_records(records, skew)
+    profile, heavy = side_by_side(
+        lambda: cw.profile_records(records, skew),
+        lambda: relational.repeats_heavily(children["der_ocorrencia"], skew),
+    )
     annotated = cw.annotate(records, profile, skew)
-    heavy = relational.repeats_heavily(children["der_ocorrencia"], skew)
     aggregates = relational.occurrence_aggregates(children, heavy, skew)
     if scratch:
-        annotated = materialise(annotated, f"{scratch}/annotated")
-        aggregates = materialise(aggregates, f"{scratch}/aggregates")
+        annotated, aggregates = side_by_side(
+            lambda: materialise(annotated, f"{scratch}/annotated"),
+            lambda: materialise(aggregates, f"{scratch}/aggregates"),
+        )
     return Decision(records, children, profile, skew, annotated, aggregates, written=bool(scratch))
 
 
@@ -120,16 +124,22 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
     children, ingest = read_children(spark, config, scratch)
     write_json(reduce(DataFrame.unionByName, ingest), output("ingest_report"))
 
-    heavy = relational.repeats_heavily(children["der_ocorrencia"], config.skew)
-    aggregates = materialise(
-        relational.occurrence_aggregates(children, heavy, config.skew), output("occurrence_aggregates")
+    profile, heavy = side_by_side(
+        lambda: cw.profile_records(records, config.skew),
+        lambda: relational.repeats_heavily(children["der_ocorrencia"], config.skew),
+    )
+    annotated, aggregates = side_by_side(
+        lambda: materialise(cw.annotate(records, profile, config.skew), f"{scratch}/annotated"),
+        lambda: materialise(
+            relational.occurrence_aggregates(children, heavy, config.skew), output("occurrence_aggregates")
+        ),
     )
-    profile = cw.profile_records(records, config.skew)
-    annotated = materialise(cw.annotate(records, profile, config.skew), f"{scratch}/annotated")
     decision = Decision(records, children, profile, config.skew, annotated, aggregates, written=True)
-    write_csv(decision.crosswalk.select(c.CROSSWALK_COLUMNS), output("crosswalk"))
-    golden = materialise(decision.golden, output("golden"))
-    write_parquet(decision.full_records, output("full_records"))
+    golden, *_ = side_by_side(
+        lambda: materialise(decision.golden, output("golden")),
+        lambda: write_csv(decision.crosswalk.select(c.CROSSWALK_COLUMNS), output("crosswalk")),
+        lambda: write_parquet(decision.full_records, output("full_records")),
+    )
 
     facts = materialise(
         audit.facts(records, decision.crosswalk, golden, aggregates, children), f"{scratch}/facts"

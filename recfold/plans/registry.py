@@ -265,7 +265,8 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def qa_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = scratch_dir(spark)
     decision = _decision(spark, sf_dir, scratch)
-    return audit.counters(decision.records, decision.crosswalk, decision.golden)
+    golden = materialise(decision.golden, f"{scratch}/golden")
+    return audit.counters(decision.records, decision.crosswalk, golden)
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +32,12 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*works: Callable[[], object]) -> list:
+    """The results of jobs that do not need each other, run at the same time.
+
+    Short jobs and the last tasks of long ones leave a cluster half idle; another job fills it.
+    """
+    with ThreadPoolExecutor(len(works)) as pool:
+        return [done.result() for done in [pool.submit(work) for work in works]]
