@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from recfold.llm.rows import ID, bitmap, identity, in_bitmap, map_batches, slices
 from recfold.llm.text_arrays import (
-    Spans, Texts, codes, hash_values, mixed, runs, space_words, spans, texts_of, whole_windows, windows,
+    Spans, Texts, codes, hash_ranges, mixed, runs, space_words, spans, texts_of, whole_windows, windows,
 )
 
 BUCKETS = 1 << 16
@@ -37,8 +37,8 @@ def grams(texts: Texts, words: Spans, hashes: np.ndarray) -> tuple[np.ndarray, n
 def _coded_words(texts: Texts) -> tuple[Spans, np.ndarray, np.ndarray]:
     """Words, for each a number that equal words alone share, and a hash."""
     words = space_words(texts)
-    numbers, distinct = codes(texts.data, words.starts, words.ends)
-    return words, numbers, hash_values(distinct)[numbers]
+    where = texts.data, words.starts, words.ends
+    return words, codes(*where), hash_ranges(*where)
 
 
 def _triples(numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -75,7 +75,7 @@ def counts(texts: Texts, words: Spans, numbers: np.ndarray) -> dict[str, np.ndar
     first_word = np.searchsorted(words.starts, lines.starts)
     filled = np.append(words.starts, len(data) + 1)[first_word] < lines.ends
     lines = spans(texts, lines.starts[filled], lines.ends[filled])
-    _, earlier = _repeats(lines.text, codes(data, lines.starts, lines.ends)[0])
+    _, earlier = _repeats(lines.text, codes(data, lines.starts, lines.ends))
     covered = np.zeros(len(words.starts), bool)
     places = whole_windows(words, 3)
     if len(places):
@@ -115,7 +115,8 @@ def _bucket_counts(rows: DataFrame) -> np.ndarray:
         sums = np.zeros(BUCKETS, np.int64)
         for part in slices(batches, "text"):
             texts = texts_of(part.column("text"))
-            words, _, hashes = _coded_words(texts)
+            words = space_words(texts)
+            hashes = hash_ranges(texts.data, words.starts, words.ends)
             sums += np.bincount(grams(texts, words, hashes)[1], minlength=BUCKETS)
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], names=["bucket", "met"])

@@ -89,13 +89,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
-    """Two bits for each hash in the column ``key``, among 16 to 32 bits a key: 32 MB at most.
+    """Two bits for each hash in the column ``key``, among a thousand bits a key or more: 32 MB at most.
 
-    Beyond 16 million keys the share of foreign hashes that both bits let through grows; callers
-    are right whatever passes.
+    Of foreign hashes both bits let a few in a million through, with ten million keys half a per
+    cent, beyond that ever more; callers are right whatever passes.
     """
-    number = keys.count()
-    size = min(max((16 * number).bit_length(), _LEAST_BITS), _MOST_BITS)
+    size = min(max((1024 * keys.count()).bit_length(), _LEAST_BITS), _MOST_BITS)
     mask = (1 << size) - 1
     places = F.explode(F.array(
         F.col("key").bitwiseAND(mask), F.shiftrightunsigned("key", size).bitwiseAND(mask)

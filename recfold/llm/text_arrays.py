@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
 _ODD = 0x9E3779B97F4A7C15
+_PIECE = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _VALUES = np.random.Generator(np.random.PCG64(20)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -101,8 +101,8 @@ def inverse_powers(count: int) -> np.ndarray:
     return _power(pow(_ODD, -1, 1 << 64), count + 1)
 
 
-def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """For each byte range a number that equal ranges alone share, and the distinct ranges by number.
+def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each byte range a number that equal ranges alone share.
 
     Ranges are in order and do not overlap. Equality is that of the bytes, whatever they hash to.
     """
@@ -114,21 +114,30 @@ def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     ranges = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(kept))]
     )
-    coded = ranges.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
-
-
-def hash_values(distinct: pa.Array) -> np.ndarray:
-    """A 64-bit keyed hash (SipHash) of each value, the same on every machine."""
-    values = np.empty(len(distinct), object)
-    values[:] = distinct.to_pylist()
-    return pd.util.hash_array(values, categorize=False) if len(values) else np.zeros(0, np.uint64)
+    return ranges.dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range; ranges are in order and do not overlap."""
-    numbers, distinct = codes(data, starts, ends)
-    return hash_values(distinct)[numbers]
+    """A 64-bit hash of each byte range: polynomials of its pieces by prefix sums, mixed and added up.
+
+    A polynomial modulo a power of two cannot tell certain long words apart; over pieces of 64
+    bytes it can, and mixing keeps what holds for one piece from holding for their sum.
+    """
+    sums, inverse = prefix_sums(data), inverse_powers(len(data))
+
+    def of_piece(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return mixed((sums[high] - sums[low]) * inverse[low] + (high - low).astype(np.uint64))
+
+    values = of_piece(starts, ends)
+    long = np.flatnonzero(ends - starts > _PIECE)
+    if len(long):
+        pieces = -(-(ends[long] - starts[long]) // _PIECE)
+        first = np.cumsum(pieces) - pieces
+        number = np.arange(pieces.sum()) - np.repeat(first, pieces)
+        low = np.repeat(starts[long], pieces) + number * _PIECE
+        high = np.minimum(low + _PIECE, np.repeat(ends[long], pieces))
+        values[long] = np.add.reduceat(mixed(of_piece(low, high) + number.astype(np.uint64) * np.uint64(_ODD)), first)
+    return values
 
 
 def windows(hashes: np.ndarray, offsets: tuple[int, ...]) -> np.ndarray:

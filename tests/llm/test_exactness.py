@@ -11,7 +11,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recfold.llm import decontaminate, ngram_rules, pii, pu_quality, queries, rows, simhash
+from recfold.llm import decontaminate, ngram_rules, pii, pu_quality, queries, rows, simhash, text_arrays
 from recfold.llm.rows import HASH, ID
 
 
@@ -31,6 +31,19 @@ def test_different_lines_and_words_are_never_equal(spark, size):
     assert [got[n].n_repeat_words for n in range(3)] == [0, 0, 0]
 
 
+def test_long_words_that_a_polynomial_takes_for_equal_have_hashes_of_their_own():
+    for size in (63, 64, 65, 128, 1024, 4096):
+        words = [w.encode() for w in (*thue_morse(size), "a" * size, "a" * (size + 1), "a" * (size + 64))]
+        data = np.frombuffer(b" ".join(words), np.uint8)
+        ends = np.cumsum([len(w) + 1 for w in words]) - 1
+        starts = ends - [len(w) for w in words]
+        hashes = text_arrays.hash_ranges(data, starts, ends)
+        assert len(set(hashes.tolist())) == len(words)
+        again = text_arrays.hash_ranges(np.frombuffer(b"xy " + b" ".join(words), np.uint8), starts + 3, ends + 3)
+        assert (again == hashes).all()
+        assert len(set(text_arrays.codes(data, starts, ends).tolist())) == len(words)
+
+
 def drawn_moments(draw, width):
     def of(shift):
         basis = draw.normal(shift, 1, (40, width))
