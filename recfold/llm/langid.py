@@ -37,6 +37,7 @@ UNKNOWN = "und"
 _BUCKETS = 1 << BITS
 _STEP = 1 << 20
 _ROWS = 64
+_FIT_ROWS = 256
 _ODD = np.uint32(0x9E3779B1)
 _BLANK = 0x20
 
@@ -96,30 +97,41 @@ class Model:
         return (rows.astype(np.float32) @ self.weights) / own[:, None]
 
 
-def kernel(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Shared n-grams of any two texts over the root of the product of their own numbers."""
-    left, right = (np.sqrt(np.maximum(some.sum(axis=1), 1)) for some in (rows, others))
-    return (rows.astype(np.float32) @ others.astype(np.float32).T).astype(np.float64) / left[:, None] / right[None, :]
+def _unpacked(packed: np.ndarray) -> Iterator[np.ndarray]:
+    """Presence rows from rows of bits, some at a time, so that few stand in memory as numbers."""
+    for low in range(0, len(packed), _FIT_ROWS):
+        yield np.unpackbits(packed[low: low + _FIT_ROWS], axis=1).astype(np.float32)
 
 
-def fit(rows: np.ndarray, labels: list[str], landmarks: np.ndarray, ridge: float = RIDGE) -> Model:
-    """One regression for each label against the rest, over the landmarks' span; ``landmarks`` are row numbers."""
+def kernel(packed: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Shared n-grams of any two texts over the root of the product of their own numbers.
+
+    ``packed`` has rows of bits, ``others`` presence rows that are scaled by the root already.
+    """
+    parts = [(rows @ others.T) / np.sqrt(np.maximum(rows.sum(axis=1), 1))[:, None] for rows in _unpacked(packed)]
+    return np.concatenate(parts).astype(np.float64)
+
+
+def fit(packed: np.ndarray, labels: list[str], landmarks: np.ndarray, ridge: float = RIDGE) -> Model:
+    """One regression for each label against the rest, over the landmarks' span.
+
+    ``packed`` has a row of bits for each text, ``landmarks`` are row numbers.
+    """
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((_BUCKETS, 0), np.float32))
-    marks = rows[landmarks]
-    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    marks = np.concatenate(list(_unpacked(packed[landmarks])))
+    marks /= np.sqrt(np.maximum(marks.sum(axis=1), 1))[:, None]
+    values, vectors = np.linalg.eigh(kernel(packed[landmarks], marks))
     kept = values > 1e-8 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])  # K(L, L)^(-1/2), without the directions that are none
-    features = kernel(rows, marks) @ root
+    features = kernel(packed, marks) @ root
     targets = np.where(np.array(labels)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     shares = np.bincount(np.searchsorted(languages, labels), minlength=len(languages))
     weight = (1 / shares)[np.searchsorted(languages, labels)] / len(languages)  # languages count alike
     square = features.T @ (features * weight[:, None]) + ridge * np.eye(features.shape[1])
     inner = np.linalg.solve(square, features.T @ (targets * weight[:, None]))
-    own = np.sqrt(np.maximum(marks.sum(axis=1), 1))
-    coefficients = (root @ inner) / own[:, None]
-    return Model(languages, (marks.astype(np.float32).T @ coefficients.astype(np.float32)))
+    return Model(languages, marks.T @ (root @ inner).astype(np.float32))
 
 
 def has_letter(text: Column) -> Column:
@@ -166,8 +178,7 @@ def learn(docs: DataFrame, most: int = SAMPLE, landmarks: int = LANDMARKS) -> Mo
         [("lang", "ascending"), ("h", "ascending")]
     )
     labels = found.column("lang").to_pylist()
-    rows = np.array([np.frombuffer(row, np.uint8) for row in found.column("bits").to_pylist()], np.uint8)
-    rows = np.unpackbits(rows.reshape(len(labels), _BUCKETS // 8), axis=1).astype(bool)
+    packed = np.frombuffer(b"".join(found.column("bits").to_pylist()), np.uint8).reshape(len(labels), _BUCKETS // 8)
     share = max(landmarks // max(len(set(labels)), 1), 1)
     seen: dict[str, int] = {}
     marks = []
@@ -175,7 +186,7 @@ def learn(docs: DataFrame, most: int = SAMPLE, landmarks: int = LANDMARKS) -> Mo
         seen[label] = seen.get(label, 0) + 1
         if seen[label] <= share:
             marks.append(number)
-    return fit(rows, labels, np.array(marks, int))
+    return fit(packed, labels, np.array(marks, int))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
