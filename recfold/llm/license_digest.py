@@ -17,7 +17,15 @@ SPELLINGS = (
     ("https", "http"),
 )
 
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n(©]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9])|\(c\)|©)[^\n]*"
+# A copyright statement goes to the end of its line, or to where the line goes on with a licence
+# that is known to open so: texts whose line breaks were lost.
+OPENINGS = (
+    "permission is hereby granted", "permission to use", "redistribution and use", "licensed under", "released under",
+    "this work is licensed", "this program is free software", "this library is free software", "this software is provided",
+)
+COPYRIGHT = (
+    r"^[^a-z0-9\n(©]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9])|\(c\)|©)[^\n]*?(" + "|".join(OPENINGS) + "|$)"
+)
 
 # One-sentence notices that name a licence, and two texts. Entire texts of more
 # licences are known by their digests alone (``license_texts.py``).
@@ -52,8 +60,8 @@ KNOWN = (
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, no copyright lines, words of ASCII letters and digits, one spelling."""
-    plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+    """Lower case, no copyright statements, words of ASCII letters and digits, one spelling."""
+    plain = F.regexp_replace(F.lower(text), "(?md)" + COPYRIGHT, " $1")
     plain = F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), "[^a-z0-9]+", "  ")
     for found, used in SPELLINGS:
         plain = F.replace(plain, F.lit(_apart(found)), F.lit(_apart(used)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -147,13 +148,17 @@ FROM m"""
 
 
 def _url_sql() -> str:
-    """Host rules are compared as text here, pattern rules word by word of the host."""
-    hosts = [rule for rule in url_rules.RULES if rule.level == 0]
-    words = [rule.name for rule in url_rules.RULES if rule.level == 1]
-    listed = ", ".join(
-        f"('{r.name}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}', '{r.verdict}')" for r in hosts
+    """Host rules are compared as text here; pattern rules run one by one on every URL, without an index."""
+    def expression(rule: str) -> str:
+        signs = {"^": "([^a-z0-9]+|\\A|\\z)", "*": ".*"}
+        return "(?s)" + "".join(signs.get(sign) or re.escape(sign) for sign in rule)
+
+    hosts = ", ".join(
+        f"('{name}', '{name.partition('/')[0]}', '/{name.partition('/')[2]}', '{verdict}')"
+        for verdict, name in url_rules.HOST_RULES
     )
-    blocked = ", ".join(f"'{word}'" for word in words)
+    patterns = ", ".join(f"('{name}', '{verdict}', '{expression(name)}')" for verdict, name in url_rules.PATTERN_RULES)
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
     return f"""
 WITH u AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -162,19 +167,18 @@ WITH u AS (
 ), s AS (
   SELECT page_id, split_part(place, '/', 1) AS raw, substr(place, length(split_part(place, '/', 1)) + 1) AS path FROM h
 ), p AS (
-  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM s
-), r(rule, rule_host, start, verdict) AS (VALUES {listed}), f AS (
+  SELECT page_id, translate(raw, {lower}) AS host, path FROM s
+), r(rule, rule_host, start, verdict) AS (VALUES {hosts}), q(name, verdict, expression) AS (VALUES {patterns}), f AS (
   SELECT p.*, (
     SELECT max(struct_pack(n := length(rule), rule := rule, verdict := verdict)) FROM r
     WHERE (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, start)
   ) AS best, (
-    SELECT max(struct_pack(n := length(w), w := w)) FROM (SELECT unnest(string_split(replace(p.host, '-', '.'), '.')) AS w)
-    WHERE w IN ({blocked})
-  ) AS word FROM p
+    SELECT min(struct_pack(n := -length(name), later := verdict <> 'block', name := name, verdict := verdict)) FROM q
+    WHERE p.host <> '' AND regexp_matches(translate(p.host || p.path, {lower}), expression)
+  ) AS pattern FROM p
 )
-SELECT page_id, host, path, best.rule AS rule,
-       coalesce(best.verdict, CASE WHEN word IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
-       CASE WHEN best IS NULL THEN word.w END AS pattern_rule
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, pattern.verdict, 'allow') AS verdict,
+       CASE WHEN best IS NULL THEN pattern.name END AS pattern_rule
 FROM f"""
 
 
@@ -183,8 +187,8 @@ SQL["op4_url_rules"] = _url_sql()
 
 def _license_sql() -> str:
     def canonical(text: str) -> str:
-        copyright_line = license_digest.COPYRIGHT_LINE.replace("'", "''")
-        plain = f"regexp_replace(lower({text}), '{copyright_line}', ' ', 'g')"
+        statement = license_digest.COPYRIGHT.replace("'", "''")
+        plain = f"regexp_replace(lower({text}), '(?m){statement}', ' \\1', 'g')"
         plain = f"regexp_replace(' ' || {plain} || ' ', '[^a-z0-9]+', '  ', 'g')"
         for pair in license_digest.SPELLINGS:
             found, used = ("".join(f" {word} " for word in words.split()) for words in pair)
