@@ -79,25 +79,41 @@ def _confirmed(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def _following(hits: Column, gaps: Column) -> Column:
+    """For each match the ``CONTEXT`` letters behind it, later matches included; put together from the end."""
+    def step(state: Column, pair: Column) -> Column:
+        after = F.left(F.concat(F.left(pair["gap"], F.lit(CONTEXT)), state["next"]), F.lit(CONTEXT))
+        onward = F.left(F.concat(F.left(pair["hit"], F.lit(CONTEXT)), after), F.lit(CONTEXT))
+        return F.struct(onward.alias("next"), F.concat(F.array(after), state["out"]).alias("out"))
+
+    pairs = F.arrays_zip(hits.alias("hit"), F.slice(gaps, F.lit(2), F.size(hits)).alias("gap"))
+    none = F.struct(F.lit("").alias("next"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(F.reverse(pairs), none, step, lambda state: state["out"])
+
+
 def _spans(kind: Kind, rank: int, text: Column) -> Column:
     """All matches of a kind with places in code points: gaps and matches alternate, so lengths add up."""
     hits = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
     gaps = F.split(text, kind.pattern, -1)
-    none = F.struct(F.lit(0).alias("end"), F.array().cast(_SPANS).alias("out"))
+    none = F.struct(F.lit(0).alias("end"), F.lit("").alias("last"), F.array().cast(_SPANS).alias("out"))
+    words = rf"(?:^|[^a-z])(?:{kind.context})(?:[^a-z]|$)"
 
     def step(state: Column, pair: Column) -> Column:
         start = state["end"] + F.length(pair["gap"])
         end = start + F.length(pair["hit"])
-        before = F.lower(F.right(pair["gap"], F.lit(CONTEXT)))
-        near = before.rlike(rf"(?:^|[^a-z])(?:{kind.context})(?:[^a-z]|$)")
+        before = F.right(F.concat(state["last"], F.right(pair["gap"], F.lit(CONTEXT))), F.lit(CONTEXT))
+        near = F.lower(before).rlike(words) | F.lower(pair["after"]).rlike(words)
         score = F.least(F.lit(kind.score) + F.when(near, F.lit(0.3)).otherwise(F.lit(0.0)), F.lit(1.0))
         span = F.struct(
             start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"),
             score.alias("score"), pair["hit"].alias("found"),
         )
-        return F.struct(end.alias("end"), F.concat(state["out"], F.array(span)).alias("out"))
+        last = F.right(F.concat(before, F.right(pair["hit"], F.lit(CONTEXT))), F.lit(CONTEXT))
+        return F.struct(end.alias("end"), last.alias("last"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    pairs = F.arrays_zip(hits.alias("hit"), F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"))
+    pairs = F.arrays_zip(
+        hits.alias("hit"), F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), _following(hits, gaps).alias("after")
+    )
     found = F.aggregate(pairs, none, step, lambda state: state["out"])
     found = F.filter(found, lambda span: _confirmed(kind.name, span["found"]))
     if not kind.base:
@@ -113,7 +129,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
     ``pii_base`` has all e-mail and IP addresses, cards and phones. ``pii_spans`` has these and
     what the method adds where it overlaps none of them: accounts that pass mod 97, and national
-    ids and local phones with a context word before them. Places count code points, the end is
+    ids and local phones with a context word among the 40 letters before or behind them. Places count code points, the end is
     exclusive. NULL and empty texts have no spans; rows are judged one by one, repeated ones
     alike. Columns of these names are replaced.
     """
