@@ -55,24 +55,46 @@ def suffix_sums(counts: DataFrame) -> DataFrame:
 
 
 def at_limits(sums: DataFrame, limits: DataFrame) -> DataFrame:
-    """``limit``, ``docs_cut``, ``total_tokens`` for each context limit in ``limits`` (``limit``, distinct).
+    """``limit``, ``docs_cut``, ``total_tokens`` for each context limit in ``limits`` (``limit``), once each.
 
-    ``docs_cut`` counts documents longer than the limit, ``total_tokens`` what all documents
-    give when cut to it. ``limits`` is a stated set of numbers, each held once against the
-    histogram's rows.
+    ``docs_cut`` counts documents longer than the limit, ``total_tokens`` what all documents give
+    when cut to it. Both follow from the suffix sums of the next longer length: its documents are
+    those that are cut, all other tokens stay. That length is looked for in the limit's block of
+    lengths, else it is the first one of the next block that has any. A limit below zero counts as
+    zero; a NULL limit is left out. Without documents both are 0.
     """
-    kept = F.least("n_tokens", "limit") * F.col("n_docs")
-    cut = F.when(F.col("n_tokens") > F.col("limit"), F.col("n_docs")).otherwise(0)
-    wanted = [row["limit"] for row in limits.select("limit").distinct().collect()]
-    every = F.explode(F.array(*[F.lit(int(w)) for w in wanted])).alias("limit")
-    return sums.select("n_tokens", "n_docs", every).groupBy("limit").agg(
-        F.sum(cut).alias("docs_cut"), F.sum(kept).alias("total_tokens")
+    wanted = limits.select(F.col("limit").cast("long").alias("limit")).filter("limit is not null").distinct()
+    wanted = wanted.select("limit", F.greatest("limit", F.lit(0)).alias("cut"))
+    wanted = wanted.withColumn("block", F.floor(F.col("cut") / _BLOCK))
+    rows = sums.select(
+        F.floor(F.col("n_tokens") / _BLOCK).alias("block"), F.struct("n_tokens", "docs_from", "tokens_from").alias("row")
+    )
+    first = rows.groupBy("block").agg(F.min("row").alias("row"))
+    # One row per limit and per 4,096 lengths; the limits of a block come before its own row.
+    later = Window.orderBy(F.desc("block"), F.col("row").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    lined = wanted.select("block", "limit", F.lit(None).cast(first.schema["row"].dataType).alias("row")).unionByName(
+        first.select("block", F.lit(None).cast("long").alias("limit"), "row")
+    )
+    beyond = lined.withColumn("beyond", F.last("row", ignorenulls=True).over(later)).filter("limit is not null").select(
+        "limit", "beyond"
+    )
+    within = wanted.join(rows, "block").filter(F.col("row.n_tokens") > F.col("cut")).groupBy("limit").agg(
+        F.min("row").alias("within")
+    )
+    all_tokens = sums.agg(F.max("tokens_from")).first()[0] or 0
+    found = wanted.join(within, "limit", "left").join(beyond, "limit", "left").withColumn("row", F.coalesce("within", "beyond"))
+    docs, tokens = (F.coalesce(F.col(f"row.{name}"), F.lit(0)) for name in ("docs_from", "tokens_from"))
+    return found.select(
+        "limit", docs.alias("docs_cut"), (F.lit(all_tokens) - tokens + docs * F.col("cut")).alias("total_tokens")
     )
 
 
 def at_quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
-    """``share``, ``n_tokens``: the smallest length that at least such a share of documents don't exceed."""
-    every = F.explode(F.array(*map(F.lit, shares))).alias("share")
+    """``share``, ``n_tokens``: the smallest length that at least such a share of documents don't exceed.
+
+    A share above one, or any share without documents, has no row; each share is answered once.
+    """
+    every = F.explode(F.array_distinct(F.array(*map(F.lit, shares)))).alias("share")
     return sums.select("n_tokens", "quantile", every).filter("quantile >= share").groupBy("share").agg(
         F.min("n_tokens").alias("n_tokens")
     )

@@ -36,6 +36,7 @@ _PREFIX = "urn:page:"
 PACKAGE_BYTES = 64 << 20
 LEAST_REVISIT = 100
 _TOGETHER = 1 << 20
+_TASK_BYTES = 16 << 20
 
 
 class Appended(io.RawIOBase):
@@ -255,7 +256,10 @@ def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_B
 
 
 def locate(packages: DataFrame) -> DataFrame:
-    """``package``, ``begin``, ``size`` of each record, from the directory and the list in each package."""
+    """``package``, ``begin``, ``size`` of each record, from the directory and the list in each package.
+
+    A package that is listed twice gives its records twice; no packages, or empty ones, give none.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,9 +290,13 @@ _FIELDS = pa.schema([
 def read_records(places: DataFrame, payload: bool = True) -> DataFrame:
     """The records at ``places``: ranges that lie close together are read at once.
 
-    Places are dealt by stretches of a package, so that one package may be read by many tasks.
-    ``payload=False`` leaves the payloads out of the result; they are checked all the same.
+    Places are dealt by stretches of a package, so that one package may be read by many tasks, to
+    as many tasks as the records' own bytes ask for: the places themselves are narrow.
+    ``payload=False`` leaves the payloads out of the result; they are checked all the same. Equal
+    places give a record each; without places there is no record. Columns have no NULL.
     """
+    places = stored(places, "places")
+    total = places.agg(F.sum("size")).first()[0] or 0
     fields = _FIELDS if payload else _FIELDS.remove(6)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,5 +317,6 @@ def read_records(places: DataFrame, payload: bool = True) -> DataFrame:
 
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
     stretch = F.floor(F.col("begin") / (16 * _TOGETHER))
-    dealt = places.repartition("package", stretch).sortWithinPartitions("package", "begin")
+    tasks = max(1, -(-total // _TASK_BYTES))
+    dealt = places.repartition(tasks, "package", stretch).sortWithinPartitions("package", "begin")
     return map_batches(dealt, work, schema + ", payload binary" * payload)
