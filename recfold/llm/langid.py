@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from recfold.llm.rows import map_batches, slices
+from recfold.llm.rows import map_batches, slices, stored
 from recfold.llm.text_arrays import Texts, texts_of
 
 ORDERS = 4
@@ -157,8 +157,9 @@ def sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     number = usable.select("lang").distinct().count()
     quota = max(most // max(number, 1), 1)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = distinct.withColumn("rank", rank).filter(F.col("rank") <= quota)
-    return usable.join(chosen.select("lang", "h"), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # Written, so that Spark knows how small it is before it plans to send the texts.
+    chosen = stored(distinct.withColumn("rank", rank).filter(F.col("rank") <= quota).select("lang", "h"), "sample")
+    return usable.join(chosen, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
 
 def learn(docs: DataFrame, most: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:

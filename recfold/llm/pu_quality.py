@@ -27,7 +27,7 @@ from recfold.llm.text_arrays import Texts, hash_ranges, runs, spans, texts_of, w
 _MARKS = b"#$%&*@^~\\<>{}[]=+_/|!?\"'`;:-()"
 _CLASSES = len(_MARKS) + 9
 _SHARE_SCALES = (0.01, 0.1, 0.5)
-_LAYERS = 64
+_MEET = 64
 _BINS = 200
 
 
@@ -168,7 +168,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _moments(rows: DataFrame) -> dict[bool, Moments]:
-    """Sums over all rows (False) and over trusted ones (True): per task, then in a layer of groups."""
+    """Sums over all rows (False) and over trusted ones (True): per task, then in rounds of groups, however many tasks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[bool, np.ndarray] = {}
@@ -192,10 +192,13 @@ def _moments(rows: DataFrame) -> dict[bool, Moments]:
             yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([part.tolist()])], names=["kind", "sums"])
 
     schema = "kind boolean, sums array<double>"
-    parts = map_batches(rows.select("basis", "trusted"), work, schema)
-    layer = map_batches(parts.repartition(_LAYERS, F.spark_partition_id()), add, schema)
+    parts = stored(map_batches(rows.select("basis", "trusted"), work, schema), "moments")
+    number = parts.count()
+    while number > 2 * _MEET:  # each round leaves two sums of up to so many
+        groups = -(-number // _MEET)
+        parts, number = stored(map_batches(parts.repartition(groups), add, schema), "moments"), 2 * groups
     totals: dict[bool, np.ndarray] = {}
-    for kind, sums in layer.toLocalIterator():
+    for kind, sums in parts.toLocalIterator():
         totals[kind] = totals.get(kind, 0) + np.array(sums)
     return {kind: Moments.of(totals.get(kind, np.zeros(0)).tolist()) for kind in (False, True)}
 

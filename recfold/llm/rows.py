@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from recfold.sources.storage import materialise, scratch_dir
 
 ID, HASH = "__recfold_id", "__recfold_hash"
-_SLICE_BYTES = 2 << 20
+_SLICE_BYTES = 1 << 20
 NO_ID = -(1 << 63)
 _LEAST_BITS, _MOST_BITS = 16, 28
 _PACKAGE = Path(__file__).resolve().parent.parent
@@ -121,18 +121,18 @@ def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about 2 MB of ``column``, or one row that is longer.
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = _SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice holds about ``size`` bytes of ``column``, or one row that is longer.
 
     Every text stays whole; only the number of rows worked on at once is bounded.
     """
     for batch in batches:
         start, held = 0, 0
-        for row, size in enumerate(_lengths(batch.column(column))):
-            if held and held + size > _SLICE_BYTES:
+        for row, length in enumerate(_lengths(batch.column(column))):
+            if held and held + length > size:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
-            held += size
+            held += length
         if start < batch.num_rows:
             yield batch.slice(start)
 

@@ -83,7 +83,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def _power(base: int, count: int) -> np.ndarray:
     key = str(base)
     if key not in _powers or len(_powers[key]) < count:
-        steps = np.full(max(count, 1 << 21), base, np.uint64)
+        steps = np.full(max(count, 1 << 20), base, np.uint64)
         steps[0] = 1
         _powers[key] = np.cumprod(steps)
     return _powers[key]

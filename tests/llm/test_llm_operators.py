@@ -111,16 +111,13 @@ def test_components_of_a_chain_and_a_hub(spark):
     assert components.connected_components(chain.limit(0)).isEmpty()
 
 
-def test_masks_hit_every_window_with_a_fifth_of_substitutions():
-    for size in (8, 12, 16, decontaminate.WINDOW):
+def test_the_long_masks_alone_hit_windows_of_seventeen_to_twenty_tokens():
+    masks = decontaminate._OFFSETS[:len(decontaminate.MASKS)]
+    for size in range(decontaminate.SHORT, decontaminate.WINDOW + 1):
         wrong = size - int(np.ceil(decontaminate.SHARE * size))
-        missed = 0
         for changed in itertools.combinations(range(size), wrong):
             same = [n not in changed for n in range(size)]
-            hit = any(all(same[at + n] for n in offsets) for offsets in decontaminate._OFFSETS
-                      for at in range(size - offsets[-1]))
-            missed += not hit
-        assert missed == 0 or size < decontaminate.WINDOW
+            assert any(all(same[at + n] for n in offsets) for offsets in masks for at in range(size - offsets[-1])), changed
 
 
 @pytest.mark.parametrize("size", range(decontaminate.LEAST, decontaminate.WINDOW + 1))
@@ -156,7 +153,7 @@ def test_decontamination(spark):
     items.append(list(items[0]))
     bench = spark.createDataFrame([(n, " ".join(t).upper()) for n, t in enumerate(items)] + [(9, None), (10, "")],
                                   "item_id long, text string")
-    docs, want = [(0, None), (1, ""), (2, " ".join(items[4]))], set()
+    docs, want = [(0, None), (1, ""), (2, " ".join(items[4]))], {(2, 4)}  # an item of five tokens, whole
     for number in range(3, 60):
         text = [word() for _ in range(draw.randint(0, 80))]
         if number % 2:
@@ -212,7 +209,8 @@ def test_checksums_context_and_redaction(spark):
     df = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id long, text string")
     rows = {r.doc_id: r for r in pii.find_spans(df).collect()}
     assert [(s.kind, s.found) for s in rows[1].pii_spans] == [
-        ("iban", "GB82 WEST 1234 5698 7654 32"), ("national_id", "123-45-6789"), ("local_phone", "212-555-0100"),
+        ("iban", "GB82 WEST 1234 5698 7654 32"), ("national_id", "123-45-6789"), ("national_id", "123-45-6789"),
+        ("local_phone", "212-555-0100"),
         ("email", "a@b.org")]
     clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
     assert clean[1].startswith("IBAN <IBAN>, not") and clean[1].endswith("<LOCAL_PHONE> or <EMAIL>")
@@ -357,7 +355,7 @@ def test_license_forms(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.license, r.notices, r.n_notices) for r in license_digest.scan(df, license_digest.known_digests(spark)).collect()}
     none = (None, "", 0)
-    assert got == {0: ("MIT", "MIT", 1), 1: ("MIT", "MIT", 2) if got[1][2] == 2 else ("MIT", "MIT", 1), 2: none,
+    assert got == {0: ("MIT", "MIT", 1), 1: ("MIT", "MIT", 1), 2: none,
                    3: (None, "CC-BY-NC-4.0,MIT", 2), 4: none, 5: none, 6: none}
 
 
