@@ -72,9 +72,7 @@ def golden_hot_keys(golden: DataFrame, skew: Skew = Skew()) -> HotKeys:
     return hot_keys(golden, {LOOKED_UP: F.col(LOOKED_UP)}, skew)
 
 
-def audit(
-    golden: DataFrame, children: dict[str, DataFrame], hot: HotKeys | None = None, skew: Skew = Skew()
-) -> DataFrame:
+def audit(golden: DataFrame, children: dict[str, DataFrame], hot: HotKeys | None = None) -> DataFrame:
     """``golden`` (or its ``event_profile``) plus the eligibility flag and six match flags, all 0/1.
 
     Keys are compared trimmed here, while the golden table joined them raw. Golden rows are sent
@@ -85,7 +83,7 @@ def audit(
     row = ["id_acidente_final"] if "id_acidente_final" in golden.columns else PROFILED
     found = spread_join(
         golden, key_presence(children), LOOKED_UP, "associado", [F.col(name) for name in row], "left",
-        (hot or {}).get(LOOKED_UP), skew,
+        (hot or {}).get(LOOKED_UP),
     )
     eligible = F.col("fonte_representante").isin(c.OFFICIAL_SOURCES) & number.isNotNull()
     mine = F.get(F.filter("exatos", lambda entry: entry["numero"] == number), F.lit(0))["tabelas"]

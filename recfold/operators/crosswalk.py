@@ -163,7 +163,7 @@ def event_groups(records: DataFrame, profile: RecordProfile | None = None) -> Da
     return _groups(keyed.filter("NOT __own")).unionByName(alone)
 
 
-def annotate(records: DataFrame, profile: RecordProfile | None = None, skew: Skew = Skew()) -> DataFrame:
+def annotate(records: DataFrame, profile: RecordProfile | None = None) -> DataFrame:
     """Every record that has a dedup key, with all its columns and what its group decided.
 
     Columns nobody asks for later are pruned before the shuffle.
@@ -173,7 +173,7 @@ def annotate(records: DataFrame, profile: RecordProfile | None = None, skew: Ske
     shared = keyed.filter("NOT __own") if apart else keyed
     members = spread_join(
         shared, _groups(shared), "chave_dedup", "chave_dedup", [F.col("id_acidente_unico")], "inner",
-        profile.hot["chave_dedup"] if profile else None, skew,
+        profile.hot["chave_dedup"] if profile else None,
     )
     if apart:
         members = members.unionByName(_as_own_group(keyed.filter("__own")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recfold import config as c
-from recfold.config import Skew
 from recfold.functions import keys
 from recfold.operators.skew import HotKeys, spread_join
 
@@ -37,7 +36,6 @@ def golden(
     annotated: DataFrame,
     aggregates: DataFrame,
     hot: HotKeys | None = None,
-    skew: Skew = Skew(),
     written: bool = False,
 ) -> DataFrame:
     """Representatives and isolated records, once per event key of their group.
@@ -52,7 +50,7 @@ def golden(
     target = F.col("target_der_final")
     joined = spread_join(
         unique.filter(target.isNotNull()) if written else unique, aggregates, "target_der_final",
-        "numero_ocorrencia", [F.col("id_acidente_unico")], "left", (hot or {}).get("target_der_id"), skew,
+        "numero_ocorrencia", [F.col("id_acidente_unico")], "left", (hot or {}).get("target_der_id"),
     )
     if written:
         joined = joined.unionByName(unique.filter(target.isNull()), allowMissingColumns=True)

@@ -74,7 +74,7 @@ def condition_aggregates(
 
 def repeats_heavily(occurrences: DataFrame, skew: Skew = Skew()) -> bool:
     """Whether some key, NULL included, has more occurrence rows than one task should emit."""
-    return bool(hot_keys(occurrences, {KEY: F.coalesce(F.col(KEY), F.lit("\0"))}, skew)[KEY])
+    return hot_keys(occurrences, {KEY: F.coalesce(F.col(KEY), F.lit("\0"))}, skew)[KEY] is not None
 
 
 def occurrence_aggregates(

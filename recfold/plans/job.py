@@ -41,7 +41,6 @@ class Decision:
     records: DataFrame
     children: dict[str, DataFrame]
     profile: RecordProfile
-    skew: Skew
     annotated: DataFrame
     aggregates: DataFrame
     written: bool = False
@@ -56,7 +55,7 @@ class Decision:
 
     @property
     def golden(self) -> DataFrame:
-        return gold.golden(self.annotated, self.aggregates, self.profile.hot, self.skew, self.written)
+        return gold.golden(self.annotated, self.aggregates, self.profile.hot, self.written)
 
     @property
     def full_records(self) -> DataFrame:
@@ -69,14 +68,14 @@ def decide(records: DataFrame, children: dict[str, DataFrame], skew: Skew = Skew
         lambda: cw.profile_records(records, skew),
         lambda: relational.repeats_heavily(children["der_ocorrencia"], skew),
     )
-    annotated = cw.annotate(records, profile, skew)
+    annotated = cw.annotate(records, profile)
     aggregates = relational.occurrence_aggregates(children, heavy, skew)
     if scratch:
         annotated, aggregates = side_by_side(
             lambda: materialise(annotated, f"{scratch}/annotated"),
             lambda: materialise(aggregates, f"{scratch}/aggregates"),
         )
-    return Decision(records, children, profile, skew, annotated, aggregates, written=bool(scratch))
+    return Decision(records, children, profile, annotated, aggregates, written=bool(scratch))
 
 
 def read_children(spark: SparkSession, config: JobConfig, scratch: str) -> tuple[dict[str, DataFrame], list[DataFrame]]:
@@ -129,12 +128,12 @@ def run(spark: SparkSession, config: JobConfig) -> DataFrame:
         lambda: relational.repeats_heavily(children["der_ocorrencia"], config.skew),
     )
     annotated, aggregates = side_by_side(
-        lambda: materialise(cw.annotate(records, profile, config.skew), f"{scratch}/annotated"),
+        lambda: materialise(cw.annotate(records, profile), f"{scratch}/annotated"),
         lambda: materialise(
             relational.occurrence_aggregates(children, heavy, config.skew), output("occurrence_aggregates")
         ),
     )
-    decision = Decision(records, children, profile, config.skew, annotated, aggregates, written=True)
+    decision = Decision(records, children, profile, annotated, aggregates, written=True)
     golden, *_ = side_by_side(
         lambda: materialise(decision.golden, output("golden")),
         lambda: write_csv(decision.crosswalk.select(c.CROSSWALK_COLUMNS), output("crosswalk")),

@@ -13,6 +13,7 @@ from recfold.operators import audit, crosswalk as cw, golden as gold, relational
 from recfold.operators.skew import hot_keys, spread_join
 from recfold.plans import adapters
 from recfold.plans.job import decide
+from recfold.sources.storage import materialise, scratch_dir
 
 TINY = Skew(rows_per_task=5)
 
@@ -98,6 +99,11 @@ def test_window_form_on_adapters(spark, small):
     assert rows_of(cw.annotate(records).select(window.columns)) == rows_of(window)
 
 
+def listed(hot):
+    """Keys and estimated rows of a table of hot keys."""
+    return {row.chave: row.linhas for row in hot.collect()}
+
+
 def skewed_records():
     """A third of all rows in one cluster, another third under one blank source key."""
     rows = [(f"a{i:03d}", "WAZE" if i % 3 else "DER", None if i % 3 else "K-001", "FORTE", "HOT") for i in range(60)]
@@ -112,15 +118,15 @@ def test_hot_keys_change_no_result(spark):
     plain = decide(records, children)
     spread = decide(records, children, TINY)
     assert not any(plain.profile.hot.values())
-    assert {"HOT", "DER_ "} <= set(spread.profile.hot["chave_dedup"])
-    assert {" ", "2020-000000007-001"} <= set(spread.profile.hot["target_der_id"])
+    assert {"HOT", "DER_ "} <= set(listed(spread.profile.hot["chave_dedup"]))
+    assert {" ", "2020-000000007-001"} <= set(listed(spread.profile.hot["target_der_id"]))
     assert rows_of(spread.annotated) == rows_of(plain.annotated)
     assert rows_of(spread.golden) == rows_of(plain.golden)
     assert rows_of(spread.full_records) == rows_of(plain.full_records)
     golden = plain.golden.cache()
     hot = audit.golden_hot_keys(golden, TINY)
-    assert hot[audit.LOOKED_UP]
-    assert rows_of(audit.audit(golden, children, hot, TINY)) == rows_of(audit.audit(golden, children))
+    assert listed(hot[audit.LOOKED_UP])
+    assert rows_of(audit.audit(golden, children, hot)) == rows_of(audit.audit(golden, children))
 
 
 def test_spread_join_matches_plain_join(spark):
@@ -128,11 +134,26 @@ def test_spread_join_matches_plain_join(spark):
                                  "id int, k string")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k4", 3), (None, 4)], "r string, v int")
     expected = rows_of(left.join(right, left.k == right.r, "left").drop("r"))
-    hot = {"hot": 45}
-    for keys in (None, hot):
-        assert rows_of(spread_join(left, right, "k", "r", [F.col("id")], "left", keys, TINY)) == expected
+    hot = spark.createDataFrame([("hot", 8), ("other", 4)], "chave string, sais int")
+    for keys in (None, hot, hot.limit(0)):
+        assert rows_of(spread_join(left, right, "k", "r", [F.col("id")], "left", keys)) == expected
     inner = rows_of(left.join(right, left.k == right.r, "inner").drop("r"))
-    assert rows_of(spread_join(left, right, "k", "r", [F.col("id")], "inner", hot, TINY)) == inner
+    assert rows_of(spread_join(left, right, "k", "r", [F.col("id")], "inner", hot)) == inner
+
+
+def test_a_hundred_thousand_hot_keys_stay_out_of_the_plan(spark):
+    """They are a table with its salts: none of them stands in the plan, and the join gives the same rows."""
+    left = spark.range(300_000).select("id", F.concat(F.lit("key"), F.col("id") % 100_000).alias("k"))
+    right = spark.range(0, 100_000, 2).select(F.concat(F.lit("key"), "id").alias("r"), (F.col("id") * 3).alias("v"))
+    hot = materialise(
+        spark.range(100_000).select(F.concat(F.lit("key"), "id").alias("chave"), (F.col("id") % 3 + 2).cast("int").alias("sais")),
+        f"{scratch_dir(spark)}/hot",
+    )
+    joined = spread_join(left, right, "k", "r", [F.col("id")], "left", hot)
+    plan = joined._jdf.queryExecution().toString()
+    assert "key77" not in plan and len(plan) < 30_000
+    assert joined.selectExpr("count(*)", "count(v)", "sum(v)").first() == left.join(
+        right, left.k == right.r, "left").selectExpr("count(*)", "count(v)", "sum(v)").first()
 
 
 def test_null_stand_in_never_matches(spark):
@@ -149,7 +170,7 @@ def test_hot_key_salts_reach_several_tasks(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        joined = spread_join(left, right, "k", "r", [F.col("id")], "left", {"hot": 1000}, Skew(rows_per_task=50))
+        joined = spread_join(left, right, "k", "r", [F.col("id")], "left", hot_keys(left, {"k": F.col("k")}, Skew(rows_per_task=50))["k"])
         per_task = joined.groupBy(F.spark_partition_id()).agg(F.count("v")).collect()
         assert sum(row[1] for row in per_task) == 1000
         assert len(per_task) > 4 and max(row[1] for row in per_task) < 500
@@ -160,8 +181,10 @@ def test_hot_key_salts_reach_several_tasks(spark):
 
 def test_probe_finds_keys_above_the_limit_only(spark):
     df = spark.createDataFrame([("a",)] * 20 + [("b",)] * 3 + [(None,)] * 30, "k string")
-    assert hot_keys(df, {"k": F.col("k")}, TINY) == {"k": {"a": 20}}
-    assert hot_keys(df, {"k": F.col("k")}, Skew()) == {"k": {}}
+    assert listed(hot_keys(df, {"k": F.col("k")}, TINY)["k"]) == {"a": 20}
+    assert hot_keys(df, {"k": F.col("k")}, Skew()) == {"k": None}
+    assert hot_keys(df.limit(0), {"k": F.col("k")}, TINY) == {"k": None}
+    assert hot_keys(df.filter("k is null"), {"k": F.col("k")}, TINY) == {"k": None}
 
 
 def test_repeated_occurrence_rows_are_spread(spark):
@@ -206,10 +229,10 @@ def test_attached_export_equals_the_fused_form(spark):
 
 def test_probe_lists_every_hot_key(spark):
     many = spark.range(300 * 20).select((F.col("id") % 300).cast("string").alias("k"))
-    assert len(hot_keys(many, {"k": F.col("k")}, Skew(rows_per_task=15))["k"]) == 300
+    assert hot_keys(many, {"k": F.col("k")}, Skew(rows_per_task=15))["k"].count() == 300
     rare = spark.range(400_000).select(F.concat(F.lit("r"), "id").alias("k"))
     hot = spark.range(40 * 200).select((F.col("id") % 40).cast("string").alias("k"))
-    assert set(hot_keys(rare.union(hot), {"k": F.col("k")}, Skew(rows_per_task=150))["k"]) >= {str(n) for n in range(40)}
+    assert set(listed(hot_keys(rare.union(hot), {"k": F.col("k")}, Skew(rows_per_task=150))["k"])) >= {str(n) for n in range(40)}
 
 
 def test_repeated_ids_take_the_general_path(spark):
