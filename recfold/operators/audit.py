@@ -72,17 +72,19 @@ def golden_hot_keys(golden: DataFrame, skew: Skew = Skew()) -> HotKeys:
     return hot_keys(golden, {LOOKED_UP: F.col(LOOKED_UP)}, skew)
 
 
-def audit(golden: DataFrame, children: dict[str, DataFrame], hot: HotKeys | None = None) -> DataFrame:
+def audit(
+    golden: DataFrame, children: dict[str, DataFrame], hot: HotKeys | None = None, presence: DataFrame | None = None
+) -> DataFrame:
     """``golden`` (or its ``event_profile``) plus the eligibility flag and six match flags, all 0/1.
 
-    Keys are compared trimmed here, while the golden table joined them raw. Golden rows are sent
+    ``presence`` is ``key_presence(children)`` where that has been written already. Keys are compared trimmed here, while the golden table joined them raw. Golden rows are sent
     once, to where all that is known of their associated number is; those without a number are
     placed by their id.
     """
     number = F.col("numero_ocorrencia_final")
     row = ["id_acidente_final"] if "id_acidente_final" in golden.columns else PROFILED
     found = spread_join(
-        golden, key_presence(children), LOOKED_UP, "associado", [F.col(name) for name in row], "left",
+        golden, key_presence(children) if presence is None else presence, LOOKED_UP, "associado", [F.col(name) for name in row], "left",
         (hot or {}).get(LOOKED_UP),
     )
     eligible = F.col("fonte_representante").isin(c.OFFICIAL_SOURCES) & number.isNotNull()

@@ -15,7 +15,7 @@ from recfold.plans.job import Decision, decide
 from recfold.sinks.files import write_csv, write_json, write_parquet
 from recfold.sources.delimited import combine_reports, read_exact_csv, read_tolerant_csv
 from recfold.sources.fingerprint import compare_fingerprints, content_fingerprint, fingerprint
-from recfold.sources.storage import materialise, scratch_dir
+from recfold.sources.storage import materialise, scratch_dir, side_by_side
 from recfold.sources.tables import load_child
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,8 +235,12 @@ def null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    golden = materialise(golden_records(spark, sf_dir), f"{scratch_dir(spark)}/golden")
-    return audit.audit(golden, _children(spark, sf_dir), audit.golden_hot_keys(golden))
+    scratch, children = scratch_dir(spark), _children(spark, sf_dir)
+    golden, presence = side_by_side(
+        lambda: materialise(golden_records(spark, sf_dir), f"{scratch}/golden"),
+        lambda: materialise(audit.key_presence(children), f"{scratch}/presence"),
+    )
+    return audit.audit(golden, children, audit.golden_hot_keys(golden), presence)
 
 
 @query
