@@ -36,7 +36,7 @@ SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-_TOGETHER = 2 << 20  # bytes of text whose words are looked up once
+_SLICE = 2 << 20  # bytes of text whose words are looked up once
 _CACHED = 120_000
 _CACHED_CHARS = 64
 _TOGETHER = 24
@@ -355,7 +355,7 @@ def _with_columns(df: DataFrame, path: str, source: str, made: dict[str, str]) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = automaton.value
-        for part in slices(batches, source, _TOGETHER):
+        for part in slices(batches, source, _SLICE):
             column = part.column(at)
             found = {}
             if list(types) == ["decoded"]:
