@@ -16,9 +16,13 @@ have their separators counted, outside quoted fields.
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from recfold import config as c
 from recfold.sources.storage import materialise
@@ -46,8 +50,14 @@ def clean_header(names: list[str | None]) -> list[str]:
 
 
 def _file_path() -> Column:
-    """Path of the row's file; the metadata column holds it percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias(_FILE)
+    """Path of the row's file, percent-encoded as the metadata column holds it."""
+    return F.col("_metadata.file_path").alias(_FILE)
+
+
+def _file_name() -> Column:
+    """Name of a file; decoded for each file, not for each row."""
+    path = F.url_decode(F.replace(F.col(_FILE), F.lit("+"), F.lit("%2B")))
+    return F.element_at(F.split(path, "/"), -1).alias("arquivo")
 
 
 def _quoted_field(sep: str) -> str:
@@ -55,9 +65,14 @@ def _quoted_field(sep: str) -> str:
     return rf'(^|\Q{sep}\E)"(?:[^"]++|"")*+"'
 
 
+def _has_quote(line: Column) -> Column:
+    """Whether any pattern about quotes can match; most lines, long ones too, need no more than this."""
+    return F.contains(line, F.lit('"'))
+
+
 def field_count(line: Column, sep: str) -> Column:
     """Fields of a raw line; separators inside quoted fields do not count."""
-    bare = F.regexp_replace(line, _quoted_field(sep), "$1")
+    bare = F.when(_has_quote(line), F.regexp_replace(line, _quoted_field(sep), "$1")).otherwise(line)
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
 
@@ -71,7 +86,11 @@ def _transitions(line: Column, sep: str) -> tuple[Column, Column]:
 
     # What follows the closing quote does not begin a field.
     rest = F.concat(F.lit("x"), F.regexp_replace(line, closing, ""))
-    return left_open(line), F.when(line.rlike(closing), left_open(rest)).otherwise(F.lit(True))
+    quote = _has_quote(line)
+    return (
+        F.when(quote, left_open(line)).otherwise(F.lit(False)),
+        F.when(quote & line.rlike(closing), left_open(rest)).otherwise(F.lit(True)),
+    )
 
 
 def _lines(spark: SparkSession, path: str | list[str], encoding: str, line_sep: str | None = None) -> DataFrame:
@@ -95,10 +114,11 @@ def line_profile(spark: SparkSession, path: str | list[str], sep: str = ";", enc
         F.when(at_start, F.col("linha")).alias("linha"),
         F.when(at_start, F.col("posicao")).alias("posicao"),
     )
+    # The set lets Spark reduce lines in a hash map; for texts alone it sorts all lines of a task by their file.
     return placed.groupBy(_FILE).agg(
         F.count("*").alias("linhas"),
         F.min_by("linha", "posicao").alias("primeira_linha"),
-        F.max("aberta").alias("quebra_em_campo"),
+        (F.size(F.collect_set(F.when(F.col("aberta"), True))) > 0).alias("quebra_em_campo"),
     )
 
 
@@ -121,18 +141,60 @@ def _beginnings(df: DataFrame, within: list[str], order: str) -> DataFrame:
     }).drop("vira", "fixo")
 
 
+def _follow(lines: DataFrame) -> DataFrame:
+    """``lines`` as they are read, and how each begins, and how many records began so far, if its part begins
+    outside a quoted field and if inside: ``_beginnings`` for parts that a task reads from end to end.
+
+    Tasks keep no more than the state after a batch of lines; nothing is sorted or sent.
+    """
+    names = ("de_fora", "de_dentro")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Defined here, so that workers need nothing of this library.
+        place, states, counts = None, [False, True], [0, 0]
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            file, part = batch.column(_FILE), batch.column("parte").to_numpy()
+            abre, fica = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("abre", "fica"))
+            new = np.ones(n, bool)
+            new[0] = place != (file[0].as_py(), part[0])
+            other = pc.not_equal(file.slice(1), file.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            new[1:] = other | (part[1:] != part[:-1])
+            place = file[n - 1].as_py(), part[n - 1]
+            at = np.arange(n)
+            turned = np.cumsum(abre & ~fica) - (abre & ~fica)
+            known = new.copy()  # rows whose state does not hang on the row before
+            known[1:] |= (abre == fica)[:-1]
+            since = np.maximum.accumulate(np.where(known, at, 0))
+            first = np.maximum.accumulate(np.where(new, at, 0))
+            made = []
+            for k, outside in enumerate((False, True)):
+                value = np.where(new, outside, np.concatenate([[states[k]], abre[:-1]]))
+                inside = value[since] ^ ((turned - turned[since]) % 2 == 1)
+                begun = np.cumsum(~inside)
+                number = begun - (begun - ~inside)[first] + np.where(new[first], 0, counts[k])
+                states[k], counts[k] = (fica if inside[-1] else abre)[-1], number[-1]
+                made += [pa.array(inside), pa.array(number, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=columns)
+
+    schema = StructType([*lines.schema.fields, *(
+        StructField(name, kind) for begins in names for name, kind in ((begins, BooleanType()), (f"numero_{begins}", LongType()))
+    )])
+    columns = schema.names
+    return lines.mapInArrow(work, schema)
+
+
 def records_of(lines: DataFrame, sep: str, scratch: str) -> tuple[DataFrame, DataFrame]:
     """Records with file and place, a line break within joining their lines; and files that end inside a field.
 
-    Windows run over one part of a file, or over the parts of one file, never over its lines.
+    ``lines`` come straight from ``_lines``: each part in one task, in order. A window runs over the
+    parts of one file, never over its lines.
     """
     abre, fica = _transitions(F.col("linha"), sep)
     part = [_FILE, "parte"]
-    upto = Window.partitionBy(*part).orderBy("posicao").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = _beginnings(lines.withColumns({"abre": abre, "fica": fica}), part, "posicao")
-    both = materialise(both.withColumns({
-        f"numero_{name}": F.sum(F.when(F.col(name), 0).otherwise(1)).over(upto) for name in ("de_fora", "de_dentro")
-    }), f"{scratch}/lines")
+    both = materialise(_follow(lines.withColumns({"abre": abre, "fica": fica})), f"{scratch}/lines")
 
     def ends(begins: str) -> Column:
         return F.when(F.col(begins), F.col("fica")).otherwise(F.col("abre"))
@@ -182,6 +244,22 @@ def parse(spark: SparkSession, path: str | list[str], width: int, sep: str, enco
     return reader.csv(path).select(*_fields(width).names, _file_path())
 
 
+def _first_places(records: DataFrame, path: str) -> DataFrame:
+    """The place of the first record of each file, written to ``path``: so small a table is sent to the records."""
+    by_part = records.groupBy(_FILE, "parte").agg(F.min("posicao").alias("posicao"))  # numbers alone: no sort
+    first = by_part.groupBy(_FILE).agg(F.min(F.struct("parte", "posicao")).alias("cabecalho"))
+    return materialise(first, path)
+
+
+def _first_records(records: DataFrame, scratch: str) -> DataFrame:
+    """Place and text of the first record of each file that is not blank."""
+    filled = records.filter(F.trim("registro") != "")
+    found = filled.join(_first_places(filled, f"{scratch}/places"), _FILE).filter(
+        F.struct("parte", "posicao") == F.col("cabecalho")
+    )
+    return materialise(found.select(_FILE, "cabecalho", F.col("registro").alias("primeira_linha")), f"{scratch}/firsts")
+
+
 def parse_records(records: DataFrame, firsts: DataFrame, width: int, sep: str) -> DataFrame:
     """The records behind the header of each file, by position."""
     values = F.from_csv("registro", _fields(width).simpleString()[len("struct<"):-1].replace(":", " "),
@@ -192,12 +270,20 @@ def parse_records(records: DataFrame, firsts: DataFrame, width: int, sep: str) -
     return behind.select(values.alias("valores"), _FILE).select("valores.*", _FILE)
 
 
-def _landed(parsed: DataFrame, firsts: DataFrame, headers: dict[str, list[str]], sep: str) -> DataFrame:
-    """Every non-blank record under the names of its file's header, with its file and whether it is kept."""
+def _landed(
+    parsed: DataFrame, firsts: DataFrame, headers: dict[str, list[str]], sep: str, filled: bool
+) -> DataFrame:
+    """Every non-blank record under the names of its file's header, with its file and whether it is kept.
+
+    ``filled`` says that blank records are gone.
+    """
     names = next(iter(headers.values()))
     corrupt = F.col(_CORRUPT)
-    blank = F.trim(corrupt if len(names) > 1 else F.col("_0")) == ""
-    rows = parsed.filter(~F.coalesce(blank, F.lit(False)))
+    rows = parsed
+    if not filled or len(names) == 1:
+        # A filter goes below the parser and would have each record parsed twice.
+        blank = F.trim(corrupt if len(names) > 1 else F.col("_0")) == ""
+        rows = rows.filter(~F.coalesce(blank, F.lit(False)))
     if len(headers) > 1:
         rows = rows.join(firsts.select(_FILE, "primeira_linha"), _FILE)
 
@@ -238,19 +324,16 @@ def read_tolerant_csv(
     if multiline and not profile.filter("quebra_em_campo").isEmpty():
         records, damaged = records_of(_lines(spark, path, encoding), sep, scratch)
         if not damaged.isEmpty():
-            raise UnreadableSource(f"{damaged.first()[0]} ends inside a quoted field", profile)
+            raise UnreadableSource(f"{damaged.select(_file_name()).first()[0]} of {path} ends inside a quoted field", profile)
         records = materialise(records, f"{scratch}/records")
-        place = F.struct("parte", "posicao")
-        firsts = records.filter(F.trim("registro") != "").groupBy(_FILE).agg(
-            F.min(place).alias("cabecalho"), F.min_by("registro", place).alias("primeira_linha")
-        )
+        firsts = _first_records(records, scratch)
         headers = _headers(firsts, profile, path, header, sep)
-        parsed = parse_records(records, firsts, len(next(iter(headers.values()))), sep)
+        parsed, filled = parse_records(records, firsts, len(next(iter(headers.values()))), sep), True
     else:
         firsts = profile
         headers = _headers(firsts, profile, path, header, sep)
-        parsed = parse(spark, path, len(next(iter(headers.values()))), sep, encoding)
-    landed = materialise(_landed(parsed, firsts, headers, sep), f"{scratch}/rows")
+        parsed, filled = parse(spark, path, len(next(iter(headers.values()))), sep, encoding), False
+    landed = materialise(_landed(parsed, firsts, headers, sep, filled), f"{scratch}/rows")
     return landed.filter(_KEPT).drop(_FILE, _KEPT), reject_report(landed, profile)
 
 
@@ -262,7 +345,7 @@ def read_exact_csv(spark: SparkSession, path: str, schema: StructType | str, scr
     fields = spark.createDataFrame([], schema).schema
     records, _ = records_of(_lines(spark, path, "UTF-8", "\n"), ",", scratch)
     records = materialise(records, f"{scratch}/records")
-    firsts = records.groupBy(_FILE).agg(F.min(F.struct("parte", "posicao")).alias("cabecalho"))
+    firsts = _first_places(records, f"{scratch}/places")
     # Only a quoted field that is empty becomes the mark; a written value can't be it.
     mark = "\ue000"
     text = StructType([StructField(f"_{i}", StringType()) for i in range(len(fields))])
@@ -295,7 +378,7 @@ def _headers(
 def failed_report(profile: DataFrame) -> DataFrame:
     """The report of files of which no row was taken."""
     return _with_rejects(profile.select(
-        F.element_at(F.split(_FILE, "/"), -1).alias("arquivo"),
+        _file_name(),
         (F.col("linhas") - 1).alias("linhas_esperadas"),
         F.lit(0).cast("long").alias("linhas_sucesso"), F.lit(0).cast("long").alias("linhas_excedentes"),
     ))
@@ -320,7 +403,7 @@ def reject_report(landed: DataFrame, profile: DataFrame) -> DataFrame:
         F.count_if(F.col(_KEPT)).alias("linhas_sucesso"), F.count_if(~F.col(_KEPT)).alias("linhas_excedentes")
     )
     joined = profile.join(parsed, _FILE, "left").select(
-        F.element_at(F.split(_FILE, "/"), -1).alias("arquivo"),
+        _file_name(),
         (F.col("linhas") - 1).alias("linhas_esperadas"),
         F.coalesce("linhas_sucesso", F.lit(0)).alias("linhas_sucesso"),
         F.coalesce("linhas_excedentes", F.lit(0)).alias("linhas_excedentes"),
