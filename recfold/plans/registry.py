@@ -391,8 +391,7 @@ def _outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     made = {
         "occurrence_aggregates": decision.aggregates, "golden": decision.golden, "full_records": decision.full_records,
     }
-    for name, df in made.items():
-        write_parquet(df, f"{scratch}/out/{name}")
+    side_by_side(*(lambda name=name, df=df: write_parquet(df, f"{scratch}/out/{name}") for name, df in made.items()))
     return {name: spark.read.parquet(f"{scratch}/out/{name}") for name in made}
 
 

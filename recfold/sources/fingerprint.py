@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import pandas as pd
@@ -99,11 +100,29 @@ def fingerprint(spark: SparkSession, paths: str | list[str], task_bytes: int = _
     return files.repartition(max(tasks, 1)).mapInPandas(work, "arquivo string, tamanho_bytes long, sha256 string")
 
 
+def _six_decimals(value: Column) -> Column:
+    """A double as decimal(38,6) writes it, by whole numbers where it is one of up to eight digits and six decimals.
+
+    Such a number has 14 digits at most, so no other of that many digits is the same double.
+    """
+    scaled = F.rint(value * 1e6)
+    whole = F.abs(scaled).cast("long")
+    made = F.concat(
+        F.when(scaled < 0, "-").otherwise(""), F.floor(whole / 1e6).cast("string"), F.lit("."),
+        F.substring((whole % 1_000_000 + 1_000_000).cast("string"), 2, 6),
+    )
+    return F.when((F.abs(value) < 1e8) & (scaled / 1e6 == value), made).otherwise(
+        value.try_cast("decimal(38,6)").cast("string")
+    )
+
+
 def _as_text(field: StructField) -> Column:
     """A value with its length, so that neighbours cannot run together; NULL is a mark of its own."""
     value = F.col(f"`{field.name}`")
     text = value.cast("string")
-    if isinstance(field.dataType, (DoubleType, FloatType)):
+    if isinstance(field.dataType, DoubleType):
+        text = F.coalesce(_six_decimals(value), text)
+    elif isinstance(field.dataType, FloatType):
         text = F.coalesce(value.try_cast("decimal(38,6)").cast("string"), text)
     return F.coalesce(F.concat(F.lit("+"), F.length(text), F.lit(":"), text), F.lit("-"))
 
@@ -117,9 +136,16 @@ def content_fingerprint(df: DataFrame) -> DataFrame:
     """
     fields = sorted(df.schema.fields, key=lambda field: field.name)
     digests = df.select(F.sha2(F.concat(*map(_as_text, fields)), 256).alias("digest"))
-    parts = [F.conv(F.substring("digest", at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 17, 33, 49)]
-    sums = digests.agg(F.count("*").alias("linhas"), *[
-        F.coalesce(F.sum(part), F.lit(0)).cast("string").alias(f"soma_{n}") for n, part in enumerate(parts)
+    parts = [F.conv(F.substring("digest", at, 15), 16, 10).cast("long").alias(f"parte_{n}") for n, at in enumerate((1, 17, 33, 49))]
+
+    def total(name: str) -> Column:
+        # By 20 bits at a time: sums of long numbers, which decimals of this size would slow down.
+        return reduce(Column.__add__, [
+            F.sum(F.shiftright(name, shift).bitwiseAND(0xFFFFF)).cast("decimal(20,0)") * F.lit(1 << shift) for shift in (0, 20, 40)
+        ])
+
+    sums = digests.select(*parts).agg(F.count("*").alias("linhas"), *[
+        F.coalesce(total(f"parte_{n}"), F.lit(0)).cast("string").alias(f"soma_{n}") for n in range(len(parts))
     ])
     whole = F.concat_ws(":", F.col("linhas").cast("string"), *[f"soma_{n}" for n in range(len(parts))])
     return sums.select("linhas", F.sha2(whole, 256).alias("sha256"))

@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from recfold.sources import delimited
+from recfold.sources.fingerprint import _six_decimals, content_fingerprint
 
 
 def plan(df):
@@ -58,3 +60,21 @@ def test_records_are_parsed_once(spark):
     landed = delimited._landed(parsed, firsts, {"a;b": ["a", "b"]}, ";", True)
     assert plan(landed).count("from_csv") == 1
     assert [tuple(row)[:2] for row in landed.collect()] == [("1", "x\ny")]
+
+
+def test_content_is_summed_in_long_numbers(spark):
+    df = spark.createDataFrame([("x", 1.5)], "a string, b double")
+    assert "sum(cast(conv" not in plan(content_fingerprint(df))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_six_decimals(spark, seed):
+    draw = random.Random(seed)
+    values = [
+        0.0, -0.0, float("nan"), float("inf"), None, 1e8, 99999999.999999, -99999999.999999, 1e-6, 5e-7, 4.9e-7, -1e-7, 1e300,
+        *(draw.choice([draw.random() * 10 ** draw.randint(-9, 12), draw.randint(-10**9, 10**9) / 10 ** draw.randint(0, 8)])
+          for _ in range(5000)),
+    ]
+    df = spark.createDataFrame([(value,) for value in values], "v double")
+    plain = F.col("v").try_cast("decimal(38,6)").cast("string")
+    assert df.filter(~_six_decimals(F.col("v")).eqNullSafe(plain)).isEmpty()
