@@ -63,7 +63,7 @@ class _Recent:
 
     def keep(self, used: dict[str, bytes]) -> None:
         short = dict(islice(((p, ids) for p, ids in used.items() if len(p) <= _CACHED_CHARS), _CACHED // 2))
-        if len(self.new.keys() | short.keys()) > _CACHED // 2:
+        if len(self.new) + len(short.keys() - self.new.keys()) > _CACHED // 2:
             self.old, self.new = self.new, {}
         self.new.update(short)
 
@@ -147,12 +147,13 @@ class Automaton:
                     slot = (slot + 1) % _SLOTS
                 keys[slot], held[slot] = key, token
             arcs = np.frombuffer(self.arcs, np.uint8)
-            self.arrays = keys, held, np.array(self.state), np.array(self.group), arcs
+            spans = np.array([len(label) for label in self.labels], np.int64)
+            self.arrays = keys, held, np.array(self.state), np.array(self.group), arcs, spans
         return self.arrays
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """``encode_word`` for many words at once: the same transitions, one place of all words at a time."""
-        keys, held, state, group, arcs = self._table()
+        keys, held, state, group, arcs, spans = self._table()
         order = sorted(range(len(words)), key=lambda n: -len(words[n]))
         sizes = np.array([len(words[n]) for n in order], np.int64)
         count, longest = len(order), int(sizes[0]) if order else 0
@@ -184,13 +185,23 @@ class Automaton:
                     left, token = left[has == 1], token[has == 1]
                 last[end - 1, left] = token
                 row[end - 1, left] = state[token] * self.width
+        # All paths are traced back together, a token of each word at a time.
+        steps, end, left = [], sizes.copy(), np.flatnonzero(sizes)
+        number = np.zeros(count, np.int64)
+        while len(left):
+            token = last[end[left] - 1, left]
+            steps.append((left, token))
+            number[left] += 1
+            end[left] -= spans[token]
+            left = left[end[left] > 0]
+        ends = np.cumsum(number)
+        ids = np.zeros(int(number.sum()), "<u4")
+        for step, (left, token) in enumerate(steps):
+            ids[ends[left] - 1 - step] = token
+        joined, ends = ids.tobytes(), (4 * ends).tolist()
         results = [b""] * count
-        for place, path in enumerate(np.ascontiguousarray(last.T).tolist()):
-            ids, end = [], int(sizes[place])
-            while end:
-                ids.append(path[end - 1])
-                end -= len(self.labels[ids[-1]])
-            results[order[place]] = struct.pack(f"<{len(ids)}I", *reversed(ids))
+        for place, begin, end in zip(order, [0, *ends], ends):
+            results[place] = joined[begin:end]
         return results
 
     def _encoded(self, words: set[str]) -> dict[str, bytes]:

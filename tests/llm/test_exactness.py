@@ -269,3 +269,16 @@ def test_near_duplicates_keep_one_of_each(spark, planted):
     groups = simhash.simhash_components(docs).collect()
     kept = simhash.one_of_each(docs).collect()
     assert len(kept) == len({(r.first_id, r.first_hash) for r in groups})
+
+
+def test_paths_of_words_are_traced_together(monkeypatch):
+    """The same ids as word by word, for empty words and lists too, without a pack for each word."""
+    from recfold.llm import bpe
+
+    letters = {v: k for k, v in bpe.byte_letters().items()}
+    vocab = {letters[n]: n for n in range(256)} | {"ab": 256, "abc": 257, "bc": 258}
+    automaton = bpe.build(vocab, [("a", "b"), ("ab", "c"), ("b", "c")], {})
+    words = [b"", b"a", b"abc", b"abcbcab", b"bcabbc", b"xab", "é".encode()]
+    wanted = [np.array(automaton.encode_word(word), "<u4").tobytes() for word in words]
+    monkeypatch.setattr(bpe, "struct", None)
+    assert automaton.encode_words(words) == wanted and automaton.encode_words([]) == []
