@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from recfold import config as c
 from recfold.functions import keys, policy
@@ -344,14 +344,16 @@ def csv_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _read_broken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Write files whose fields hold line breaks, each under its header, and read them tolerantly."""
     scratch = scratch_dir(spark)
-    lines = adapters.spark_input(spark, sf_dir, "broken_lines")
+    # Keys are dealt out, not the long lines made from them; the first line of a file brings its header along.
+    file = F.expr(adapters.BROKEN_FILE)
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(file).sortWithinPartitions(file)
+    lines = spark.sql(adapters.INPUTS["broken_lines"], lineitem=lineitem)
+    so_far = Window.partitionBy("arquivo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     even, odd = map(F.lit, adapters.BROKEN_HEADERS)
-    files = lines.select("arquivo").distinct()
-    headers = files.select("arquivo", F.when(F.col("arquivo") % 2 == 0, even).otherwise(odd).alias("linha"))
-    ordered = headers.withColumn("ordem", F.lit(0)).unionByName(lines.withColumn("ordem", F.lit(1)))
-    ordered.repartition("arquivo").sortWithinPartitions("arquivo", "ordem").select("arquivo", "linha").write.partitionBy(
-        "arquivo"
-    ).text(f"{scratch}/source")
+    headed = F.concat_ws("\n", F.when(F.col("arquivo") % 2 == 0, even).otherwise(odd), F.coalesce("linha", F.lit("")))
+    lines.withColumn("ordem", F.count("*").over(so_far)).select(
+        "arquivo", F.when(F.col("ordem") == 1, headed).otherwise(F.col("linha")).alias("linha")
+    ).write.option("compression", "gzip").partitionBy("arquivo").text(f"{scratch}/source")
     return read_tolerant_csv(spark, f"{scratch}/source", scratch, encoding="UTF-8")
 
 

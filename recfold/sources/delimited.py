@@ -5,8 +5,10 @@ Lines with too many fields are dropped, short ones padded with NULL, and every c
 Files are always read in parts. Where quoted fields contain line breaks, what a line means depends
 on whether it begins inside such a field. Each part is worked through under both assumptions, which
 leaves two things to know about a part: how it ends under either, so that the assumption that holds
-follows from the parts before it, and where its records begin. Only lines of records that have
-several are then brought together.
+follows from the parts before it, and where its first record begins and its last one. That is a row
+per part. The files are then read again, and the lines of a record joined by the task that reads
+them; only the lines of records that go over the end of a part are brought together. No text is
+written before it is parsed.
 
 Spark's CSV parser in permissive mode with a schema as wide as the header leaves the corrupt
 record column NULL exactly when a record has the header's number of fields. Only the others
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -80,28 +83,45 @@ def _transitions(line: Column, sep: str) -> tuple[Column, Column]:
     """Whether a line ends inside a quoted field: if it begins outside of one, and if it begins inside."""
     start = rf'(^|\Q{sep}\E)"'
     closing = r'^(?:[^"]++|"")*+"'
+    mark, twice = F.lit('"'), F.lit('""')
 
     def left_open(text: Column) -> Column:
         return F.regexp_replace(text, _quoted_field(sep), "$1").rlike(start)
 
+    # Most quotes can't open a field, or stand alone, which takes no pattern to see.
+    quote, later, alone = _has_quote(line), F.contains(line, F.lit(f'{sep}"')), ~F.contains(line, twice)
+    behind = F.when(alone, F.substr(line, F.locate('"', line) + 1)).otherwise(F.regexp_replace(line, closing, ""))
     # What follows the closing quote does not begin a field.
-    rest = F.concat(F.lit("x"), F.regexp_replace(line, closing, ""))
-    quote = _has_quote(line)
+    rest = F.concat(F.lit("x"), behind)
     return (
-        F.when(quote, left_open(line)).otherwise(F.lit(False)),
-        F.when(quote & line.rlike(closing), left_open(rest)).otherwise(F.lit(True)),
+        F.when(quote & (F.startswith(line, mark) | later), left_open(line)).otherwise(F.lit(False)),
+        F.when(quote & (alone | line.rlike(closing)), F.when(later, left_open(rest)).otherwise(F.lit(False))).otherwise(F.lit(True)),
     )
 
 
+@contextmanager
+def _same_parts(spark: SparkSession) -> Iterator[None]:
+    """Files are split in the same way each time they are read, also if executors come and go meanwhile."""
+    least = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(least, None):
+        yield
+        return
+    spark.conf.set(least, spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.unset(least)
+
+
 def _lines(spark: SparkSession, path: str | list[str], encoding: str, line_sep: str | None = None) -> DataFrame:
-    """Physical lines with their file, the start of their part of it, and their order within the part."""
+    """Physical lines with their file, the start and length of their part of it, and their order within the part."""
     reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
     text = reader.text(path)  # bytes as they are, whatever the encoding
     line = F.col("value")
     if encoding.upper() not in ("UTF-8", "UTF8"):
         line = F.decode(line.cast("binary"), encoding)
     return text.select(
-        _file_path(), F.col("_metadata.file_block_start").alias("parte"),
+        _file_path(), F.col("_metadata.file_block_start").alias("parte"), F.col("_metadata.file_block_length").alias("tamanho"),
         F.monotonically_increasing_id().alias("posicao"), line.alias("linha"),
     )
 
@@ -186,49 +206,133 @@ def _follow(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(work, schema)
 
 
-def records_of(lines: DataFrame, sep: str, scratch: str) -> tuple[DataFrame, DataFrame]:
-    """Records with file and place, a line break within joining their lines; and files that end inside a field.
+def _join_lines(lines: DataFrame) -> DataFrame:
+    """Records that begin and end in the same part, each at the place of its first line.
 
-    ``lines`` come straight from ``_lines``: each part in one task, in order. A window runs over the
-    parts of one file, never over its lines.
+    ``dentro`` says whether the part of a line begins inside a quoted field. Tasks keep the lines of a record that
+    goes on in the next batch, no others; nothing is sorted or sent.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Defined here, so that workers need nothing of this library.
+        place, state, begun, kept = None, False, None, []
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            if batch.column("dentro").null_count:
+                raise RuntimeError("the files were split otherwise than before, or changed meanwhile")
+            file, part, line = batch.column(_FILE), batch.column("parte").to_numpy(), batch.column("linha")
+            abre, fica, dentro = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("abre", "fica", "dentro"))
+            new = np.ones(n, bool)
+            new[0] = place != (file[0].as_py(), part[0])
+            other = pc.not_equal(file.slice(1), file.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            new[1:] = other | (part[1:] != part[:-1])
+            place = file[n - 1].as_py(), part[n - 1]
+            # How lines begin: as in _follow, from one assumption.
+            turned = np.cumsum(abre & ~fica) - (abre & ~fica)
+            known = new.copy()
+            known[1:] |= (abre == fica)[:-1]
+            since = np.maximum.accumulate(np.where(known, np.arange(n), 0))
+            value = np.where(new, dentro, np.concatenate([[state], abre[:-1]]))
+            inside = value[since] ^ ((turned - turned[since]) % 2 == 1)
+            ends_inside = np.where(inside, fica, abre)
+            state = ends_inside[-1]
+
+            first = np.flatnonzero(~inside | new)  # of each record, or of what a part has of one
+            if not len(first) or first[0]:  # lines of the record that the batches before left open
+                rest = first[0] if len(first) else n
+                if begun is not None:
+                    kept.append(line.slice(0, rest))
+                    if not ends_inside[rest - 1]:
+                        pieces = pa.concat_arrays(kept)
+                        text = pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), pa.scalar("\n", line.type))
+                        yield pa.RecordBatch.from_arrays([*begun, text], names=names)
+                        begun, kept = None, []
+            if not len(first):
+                continue
+            begun, kept = None, []
+            last = np.append(first[1:], n) - 1
+            whole = ~inside[first] & ~ends_inside[last]
+            if ends_inside[-1] and not inside[first[-1]]:
+                begun, kept = [batch.column(name).slice(first[-1], 1) for name in names[:-1]], [line.slice(first[-1])]
+            if whole.any():
+                texts = pa.ListArray.from_arrays(pa.array(np.append(first, n), pa.int32()), line).filter(pa.array(whole))
+                at = pa.array(first[whole])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(name).take(at) for name in names[:-1]), pc.binary_join(texts, pa.scalar("\n", line.type))],
+                    names=names,
+                )
+
+    names = [_FILE, "parte", "posicao", "registro"]
+    return lines.mapInArrow(work, StructType([*(lines.schema[name] for name in names[:-1]), StructField("registro", StringType())]))
+
+
+def _parts(lines: DataFrame, path: str) -> DataFrame:
+    """A row for each part of a file, written to ``path``.
+
+    ``dentro`` and ``aberta`` say whether it begins and ends inside a quoted field, ``fim`` where the record ends that
+    it begins in, ``inicio`` where the last record of its own begins, ``anterior`` in which part the one open at its
+    beginning does, ``primeira`` where the first line stands that is ``cheia``.
     """
-    abre, fica = _transitions(F.col("linha"), sep)
     part = [_FILE, "parte"]
-    both = materialise(_follow(lines.withColumns({"abre": abre, "fica": fica})), f"{scratch}/lines")
+    followed = _follow(lines.select(*part, "tamanho", "posicao", "abre", "fica", "cheia"))
 
     def ends(begins: str) -> Column:
         return F.when(F.col(begins), F.col("fica")).otherwise(F.col("abre"))
 
-    parts = both.groupBy(*part).agg(*[
-        F.max_by(value, "posicao").alias(name) for name, value in (
-            ("abre", ends("de_fora")), ("fica", ends("de_dentro")),
-            ("numero_de_fora", F.col("numero_de_fora")), ("numero_de_dentro", F.col("numero_de_dentro")),
-        )
-    ])
+    ways = ("de_fora", "de_dentro")
+    parts = followed.groupBy(*part, "tamanho").agg(
+        F.min(F.when(F.col("cheia"), F.col("posicao"))).alias("primeira"),
+        *(F.max_by(ends(way), "posicao").alias(name) for way, name in zip(ways, ("abre", "fica"), strict=True)),
+        *(F.min(F.when(~ends(way), F.col("posicao"))).alias(f"fim_{way}") for way in ways),
+        *(F.max(F.when(~F.col(way), F.col("posicao"))).alias(f"inicio_{way}") for way in ways),
+    )
     earlier = Window.partitionBy(_FILE).orderBy("parte").rowsBetween(Window.unboundedPreceding, -1)
     parts = _beginnings(parts, [_FILE], "parte").withColumn("dentro", F.col("de_fora"))
-    number = F.when(F.col("dentro"), F.col("numero_de_dentro")).otherwise(F.col("numero_de_fora"))
-    last = F.when(number > 0, F.struct(F.col("parte").alias("parte"), number.alias("numero")))
-    parts = materialise(parts.select(
-        *part, "dentro", F.last(last, ignorenulls=True).over(earlier).alias("anterior"), ends("dentro").alias("aberta"),
-    ), f"{scratch}/parts")
-    damaged = parts.groupBy(_FILE).agg(F.max_by("aberta", "parte").alias("aberta")).filter("aberta").select(_FILE)
+    fim, inicio = (F.when(F.col("dentro"), F.col(f"{at}_de_dentro")).otherwise(F.col(f"{at}_de_fora")) for at in ("fim", "inicio"))
+    begins = F.when(inicio.isNotNull(), F.col("parte"))
+    return materialise(parts.select(
+        *part, "tamanho", "dentro", ends("dentro").alias("aberta"), fim.alias("fim"), inicio.alias("inicio"),
+        F.last(begins, ignorenulls=True).over(earlier).alias("anterior"), "primeira",
+    ), path)
+
 
-    placed = both.join(parts.drop("aberta"), part)
-    number = F.when(F.col("dentro"), F.col("numero_de_dentro")).otherwise(F.col("numero_de_fora"))
-    inside = F.when(F.col("dentro"), F.col("de_dentro")).otherwise(F.col("de_fora"))
-    placed = placed.withColumns({"numero": number, "continua": inside}).select(
-        *part, "posicao", "linha",
-        (~F.col("continua") & ~F.col("abre")).alias("inteira"),
-        F.when(number > 0, F.struct(F.col("parte"), number.alias("numero"))).otherwise(F.col("anterior")).alias("chave"),
+def records_of(lines: DataFrame, sep: str, scratch: str, blank_too: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records with file and place, a line break within joining their lines; files that end inside a field; and the
+    place of the first record of each file, of those that are not blank unless ``blank_too``.
+
+    ``lines`` come straight from ``_lines``: each part in one task, in order. They are read again for the records, in
+    the same parts: ``_same_parts`` sees to that, and a part that is not known fails. A window runs over the parts of
+    one file, never over its lines.
+    """
+    abre, fica = _transitions(F.col("linha"), sep)
+    # A record of several lines has a quote, so blank ones are single lines.
+    filled = F.lit(True) if blank_too else F.trim("linha") != ""
+    lines = lines.withColumns({"abre": abre, "fica": fica})
+    parts = _parts(lines.withColumn("cheia", filled), f"{scratch}/parts")
+    damaged = parts.groupBy(_FILE).agg(F.max_by("aberta", "parte").alias("aberta")).filter("aberta").select(_FILE)
+    places = parts.filter("primeira IS NOT NULL").groupBy(_FILE).agg(
+        F.min(F.struct("parte", F.col("primeira").alias("posicao"))).alias("cabecalho")
     )
-    whole = placed.filter("inteira").select(*part, "posicao", F.col("linha").alias("registro"))
+
+    # A row per part is never more than the driver's list of them, and lines must stay in order: so it is sent to them.
+    part = [_FILE, "parte", "tamanho"]
+    known = lines.join(F.broadcast(parts.select(*part, "dentro")), part, "left")
+    records = _join_lines(known.select(_FILE, "parte", "posicao", "linha", "abre", "fica", "dentro"))
+    if parts.filter("dentro").isEmpty():
+        return records, damaged, places
+    edges = lines.join(F.broadcast(parts.filter("dentro OR aberta")), part)
+    head = F.col("dentro") & (F.col("fim").isNull() | (F.col("posicao") <= F.col("fim")))
+    tail = F.col("aberta") & (F.col("posicao") >= F.col("inicio"))
     pieces = F.array_sort(F.collect_list(F.struct("parte", "posicao", "linha")))
-    joined = placed.filter(~F.col("inteira")).groupBy(_FILE, "chave").agg(pieces.alias("pedacos")).select(
+    over = edges.filter(head | F.coalesce(tail, F.lit(False))).groupBy(
+        _FILE, F.when(head, F.col("anterior")).otherwise(F.col("parte")).alias("de")
+    ).agg(pieces.alias("pedacos")).select(
         _FILE, F.col("pedacos")[0]["parte"].alias("parte"), F.col("pedacos")[0]["posicao"].alias("posicao"),
         F.array_join(F.col("pedacos.linha"), "\n").alias("registro"),
     )
-    return whole.unionByName(joined), damaged
+    return records.unionByName(over), damaged, places
 
 
 def _fields(width: int) -> StructType:
@@ -244,27 +348,25 @@ def parse(spark: SparkSession, path: str | list[str], width: int, sep: str, enco
     return reader.csv(path).select(*_fields(width).names, _file_path())
 
 
-def _first_places(records: DataFrame, path: str) -> DataFrame:
-    """The place of the first record of each file, written to ``path``: so small a table is sent to the records."""
-    by_part = records.groupBy(_FILE, "parte").agg(F.min("posicao").alias("posicao"))  # numbers alone: no sort
-    first = by_part.groupBy(_FILE).agg(F.min(F.struct("parte", "posicao")).alias("cabecalho"))
-    return materialise(first, path)
-
-
-def _first_records(records: DataFrame, scratch: str) -> DataFrame:
+def _first_records(records: DataFrame, places: DataFrame, profile: DataFrame, sep: str, scratch: str) -> DataFrame:
     """Place and text of the first record of each file that is not blank."""
-    filled = records.filter(F.trim("registro") != "")
-    found = filled.join(_first_places(filled, f"{scratch}/places"), _FILE).filter(
-        F.struct("parte", "posicao") == F.col("cabecalho")
+    open_ = _transitions(F.col("primeira_linha"), sep)[0]
+    # The profile has the first line of a file's first part, which nearly always is the record.
+    known = places.join(profile.filter(~open_), _FILE, "left").select(
+        _FILE, "cabecalho", F.when(F.col("cabecalho.parte") == 0, F.col("primeira_linha")).alias("primeira_linha")
     )
-    return materialise(found.select(_FILE, "cabecalho", F.col("registro").alias("primeira_linha")), f"{scratch}/firsts")
+    known = materialise(known, f"{scratch}/firsts")
+    if known.filter("primeira_linha IS NULL").isEmpty():
+        return known
+    found = records.join(F.broadcast(places), _FILE).filter(F.struct("parte", "posicao") == F.col("cabecalho"))
+    return materialise(found.select(_FILE, "cabecalho", F.col("registro").alias("primeira_linha")), f"{scratch}/all_firsts")
 
 
 def parse_records(records: DataFrame, firsts: DataFrame, width: int, sep: str) -> DataFrame:
     """The records behind the header of each file, by position."""
     values = F.from_csv("registro", _fields(width).simpleString()[len("struct<"):-1].replace(":", " "),
                         {"sep": sep, **_PARSER})
-    behind = records.join(firsts.select(_FILE, "cabecalho"), _FILE).filter(
+    behind = records.join(F.broadcast(firsts.select(_FILE, "cabecalho")), _FILE).filter(
         (F.struct("parte", "posicao") > F.col("cabecalho")) & (F.trim("registro") != "")
     )
     return behind.select(values.alias("valores"), _FILE).select("valores.*", _FILE)
@@ -285,7 +387,7 @@ def _landed(
         blank = F.trim(corrupt if len(names) > 1 else F.col("_0")) == ""
         rows = rows.filter(~F.coalesce(blank, F.lit(False)))
     if len(headers) > 1:
-        rows = rows.join(firsts.select(_FILE, "primeira_linha"), _FILE)
+        rows = rows.join(F.broadcast(firsts.select(_FILE, "primeira_linha")), _FILE)  # no row is sent for its file's header
 
     def value(name: str) -> Column:
         lines = list(headers)
@@ -311,8 +413,8 @@ def read_tolerant_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """Kept rows and one report row per file.
 
-    The text is parsed once into a Parquet table below ``scratch``; rows and report both come
-    from there. Files are read in parts, also where quoted fields contain line breaks; with
+    The text is parsed once into a Parquet table below ``scratch``, the only copy of it that is
+    made; rows and report both come from there. Files are read in parts, also where quoted fields contain line breaks; with
     ``multiline`` false every line is a record. Records stand under their own file's header and
     are aligned by name.
 
@@ -320,20 +422,20 @@ def read_tolerant_csv(
     column sets differ, or if a file ends inside a quoted field: what a parser makes of such a
     file lacks rows.
     """
-    profile = materialise(line_profile(spark, path, sep, encoding), f"{scratch}/profile")
-    if multiline and not profile.filter("quebra_em_campo").isEmpty():
-        records, damaged = records_of(_lines(spark, path, encoding), sep, scratch)
-        if not damaged.isEmpty():
-            raise UnreadableSource(f"{damaged.select(_file_name()).first()[0]} of {path} ends inside a quoted field", profile)
-        records = materialise(records, f"{scratch}/records")
-        firsts = _first_records(records, scratch)
-        headers = _headers(firsts, profile, path, header, sep)
-        parsed, filled = parse_records(records, firsts, len(next(iter(headers.values()))), sep), True
-    else:
-        firsts = profile
-        headers = _headers(firsts, profile, path, header, sep)
-        parsed, filled = parse(spark, path, len(next(iter(headers.values()))), sep, encoding), False
-    landed = materialise(_landed(parsed, firsts, headers, sep, filled), f"{scratch}/rows")
+    with _same_parts(spark):
+        profile = materialise(line_profile(spark, path, sep, encoding), f"{scratch}/profile")
+        if multiline and not profile.filter("quebra_em_campo").isEmpty():
+            records, damaged, places = records_of(_lines(spark, path, encoding), sep, scratch)
+            if not damaged.isEmpty():
+                raise UnreadableSource(f"{damaged.select(_file_name()).first()[0]} of {path} ends inside a quoted field", profile)
+            firsts = _first_records(records, places, profile, sep, scratch)
+            headers = _headers(firsts, profile, path, header, sep)
+            parsed, filled = parse_records(records, firsts, len(next(iter(headers.values()))), sep), True
+        else:
+            firsts = profile
+            headers = _headers(firsts, profile, path, header, sep)
+            parsed, filled = parse(spark, path, len(next(iter(headers.values()))), sep, encoding), False
+        landed = materialise(_landed(parsed, firsts, headers, sep, filled), f"{scratch}/rows")
     return landed.filter(_KEPT).drop(_FILE, _KEPT), reject_report(landed, profile)
 
 
@@ -343,14 +445,14 @@ def read_exact_csv(spark: SparkSession, path: str, schema: StructType | str, scr
     Values keep their line breaks, carriage returns and blanks; NULL stands apart from the empty text.
     """
     fields = spark.createDataFrame([], schema).schema
-    records, _ = records_of(_lines(spark, path, "UTF-8", "\n"), ",", scratch)
-    records = materialise(records, f"{scratch}/records")
-    firsts = _first_places(records, f"{scratch}/places")
+    with _same_parts(spark):
+        records, _, places = records_of(_lines(spark, path, "UTF-8", "\n"), ",", scratch, blank_too=True)
+        behind = records.join(F.broadcast(places), _FILE).filter(F.struct("parte", "posicao") > F.col("cabecalho"))
+        behind = materialise(behind.select("registro"), f"{scratch}/records")
     # Only a quoted field that is empty becomes the mark; a written value can't be it.
     mark = "\ue000"
     text = StructType([StructField(f"_{i}", StringType()) for i in range(len(fields))])
     options = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": mark, "nullValue": "", "lineSep": "\n"}
-    behind = records.join(firsts, _FILE).filter(F.struct("parte", "posicao") > F.col("cabecalho"))
     values = behind.select(F.from_csv("registro", text.simpleString()[len("struct<"):-1].replace(":", " "), options).alias("v"))
     return values.select(*(
         F.when(F.col(f"v._{i}") == mark, "").otherwise(F.col(f"v._{i}")).cast(field.dataType).alias(field.name)
