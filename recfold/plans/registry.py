@@ -341,10 +341,14 @@ def csv_reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine_reports(_read_delimited(spark, sf_dir)[1], "der_envolvidos")
 
 
+BROKEN_FILE_LINES = 100_000
+
+
 def _read_broken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Write files whose fields hold line breaks, each under its header, and read them tolerantly."""
     scratch = scratch_dir(spark)
-    # Keys are dealt out, not the long lines made from them; the first line of a file brings its header along.
+    # Keys are dealt out, not the long lines made from them; the first line of a file brings its header along. As a
+    # compressed file is read by one task, many lines of one number go to several.
     file = F.expr(adapters.BROKEN_FILE)
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(file).sortWithinPartitions(file)
     lines = spark.sql(adapters.INPUTS["broken_lines"], lineitem=lineitem)
@@ -352,8 +356,8 @@ def _read_broken(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     even, odd = map(F.lit, adapters.BROKEN_HEADERS)
     headed = F.concat_ws("\n", F.when(F.col("arquivo") % 2 == 0, even).otherwise(odd), F.coalesce("linha", F.lit("")))
     lines.withColumn("ordem", F.count("*").over(so_far)).select(
-        "arquivo", F.when(F.col("ordem") == 1, headed).otherwise(F.col("linha")).alias("linha")
-    ).write.option("compression", "gzip").partitionBy("arquivo").text(f"{scratch}/source")
+        "arquivo", F.when(F.col("ordem") % BROKEN_FILE_LINES == 1, headed).otherwise(F.col("linha")).alias("linha")
+    ).write.options(compression="gzip", maxRecordsPerFile=BROKEN_FILE_LINES).partitionBy("arquivo").text(f"{scratch}/source")
     return read_tolerant_csv(spark, f"{scratch}/source", scratch, encoding="UTF-8")
 
 
